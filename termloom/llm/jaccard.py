@@ -228,6 +228,21 @@ def near_texts(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "do
     return out.select("doc_id", "k", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component, that of the smallest id; rows without shingles all stay.
+
+    Of rows that repeat the id and the text of the one that stays, one stays. Rows of a component without any id are
+    ordered by their hash. Texts travel once, to be joined with the names of what stays.
+    """
+    found = near_texts(docs, words, pct, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("k").alias("__k"), "n_shingles", "component_id")
+    stay = found.where((F.col("n_shingles") > 0) & F.col("__id").eqNullSafe(F.col("component_id")))
+    stay = stay.groupBy("__id").agg(F.min("__k").alias("__k"))
+    d = docs.withColumn("__k", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    full = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = d.where(full).join(stay, d[id_col].eqNullSafe(stay["__id"]) & (d["__k"] == stay["__k"]), "left_semi").dropDuplicates([id_col, "__k"])
+    return kept.unionByName(d.where(~full)).drop("__k")
+
+
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_texts(docs, words=4, pct=85).select("doc_id", "n_shingles", "component_id")

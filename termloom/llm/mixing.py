@@ -106,5 +106,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return out.select("doc_id", F.when(F.col("src") != "1", F.expr("substring(src, 2)")).alias("source"), "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), F.col("copies").cast("long").alias("copies"))
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: docs with each row as often as the schedule takes it, blank texts left out.
+
+    Rows that repeat an id within a source share the copies of all of them, dealt by their order.
+    """
+    got = mix(docs, id_col, text_col, source_col, **options).where("size > 0")
+    take = got.groupBy("doc_id", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    take = take.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "copies", "n").withColumnsRenamed({"copies": "__copies", "n": "__n"}).where("__copies > 0")
+    text = F.col(text_col)
+    d = docs.where(text.rlike(WORD))
+    d = d.join(take, d[id_col].eqNullSafe(take["__id"]) & d[source_col].eqNullSafe(take["__source"]))
+    once = d.where("__n = 1").withColumn("__times", F.col("__copies"))
+    order = Window.partitionBy(id_col, source_col).orderBy(F.xxhash64(text))
+    several = d.where("__n > 1").withColumn("__at", F.row_number().over(order) - 1).withColumn("__times", F.expr("__copies div __n + int(__at < __copies % __n)")).drop("__at")
+    out = once.unionByName(several).withColumn("__times", F.explode(F.expr("array_repeat(0, cast(__times as int))")))
+    return out.select(*docs.columns)
+
+
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from termloom.llm import mixing, quality, secrets, sharding
+from termloom.llm import forest, jaccard, mixing, pieces, quality, repeats, secrets, sharding, topk, warc
 
 
 def queries():
@@ -12,10 +12,16 @@ def queries():
             mixing.op1_mix_sources,
             sharding.op2_shard_bytes,
             quality.op3_quality_rank,
+            forest.op4_vector_forest,
+            repeats.op5_suffix_repeats,
             secrets.op6_secret_links,
+            topk.op7_pivot_topk,
+            pieces.op8_sentencepiece,
+            jaccard.op9_ngram_jaccard,
+            warc.op10_warc,
         )
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op7_pivot_topk": topk.OP7_SQL, "op10_warc": warc.OP10_SQL}

@@ -102,9 +102,9 @@ def op7_pivot_topk(spark, sf_dir: str) -> DataFrame:
 
 
 OP7_SQL = """
-with v as (select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as vec from embeddings
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as vec from embeddings
            where embedding is not null and len(embedding) > 0
-             and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id as query_id, c.vec_id as vec_id, list_dot_product(q.vec, c.vec)::bigint as score
       from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
