@@ -36,21 +36,26 @@ def top_in_block(q: pd.DataFrame, c: pd.DataFrame, k: int, batch: int = 256) ->
     """The k best candidates of a block for each query of a block: query_id, vec_id, score."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(q) and len(c):
-        qv, cv, qd, cd = _table(q["vec"]), _table(c["vec"]), _table(q["dist"]), _table(c["dist"])
+        qv, cv, qd, cd = _table(q["vec"]), _table(c["vec"]), _table(q["dist"]), np.ascontiguousarray(_table(c["dist"]).T)
         ids = c["vec_id"].to_numpy()
         cn, qn = (cv * cv).sum(axis=1), (qv * qv).sum(axis=1)
         whole = cv.shape[1] * max(np.abs(cv).max(), 1) * max(np.abs(qv).max(), 1) < EXACT
         for i, qid in enumerate(q["vec_id"].to_numpy()):
-            low = np.abs(cd - qd[i]).max(axis=1)
+            low = np.abs(cd - qd[i, :, None]).max(axis=0)
             high = (qn[i] + cn - low * low) / 2
             high += 1 + 1e-9 * (qn[i] + cn)  # rounding must never hide a candidate
-            order = np.argsort(-high, kind="stable")
+            order = np.argsort(-high)
             order = order[ids[order] != qid]
+            step = batch
             best_s, best_i, at = np.zeros(0, dtype=object if not whole else np.int64), np.zeros(0, dtype=ids.dtype), 0
             while at < len(order) and (len(best_s) < k or high[order[at]] >= best_s[-1]):
-                some = order[at : at + batch]
-                at += batch
+                some = order[at : at + step]
+                if len(best_s) == k:  # later candidates of the batch may already fall below the bound
+                    some = some[high[some] >= best_s[-1]]
+                at, step = at + step, 2 * step
                 score = (cv[some] @ qv[i]).astype(np.int64) if whole else np.array([sum(int(a) * int(b) for a, b in zip(cv[j], qv[i])) for j in some], dtype=object)
+                if len(best_s) == k:
+                    some, score = some[score >= best_s[-1]], score[score >= best_s[-1]]
                 s, d = np.concatenate([best_s, score]), np.concatenate([best_i, ids[some]])
                 keep = np.array(sorted(range(len(s)), key=lambda j: (-s[j], d[j])) if not whole else np.lexsort((d, -s)), dtype=np.int64)[:k]
                 best_s, best_i = s[keep], d[keep]
