@@ -61,7 +61,7 @@ def _runs(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(keys, counts)
 
 
-def cut_texts(batches: Iterator[pd.DataFrame], words: int, buckets: int, homes: int, flush: int = 2_000_000) -> Iterator[pd.DataFrame]:
+def cut_texts(batches: Iterator[pd.DataFrame], words: int, buckets: int, homes: int, flush: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """Packed shingles by bucket, and packed set sizes by home, of texts not seen before in this task."""
     seen: set[int] = set()
     keys, sizes, sets, held = [], [], [], 0
@@ -88,9 +88,9 @@ def cut_texts(batches: Iterator[pd.DataFrame], words: int, buckets: int, homes:
         k, texts = batch["k"][fresh].tolist(), batch["text"][fresh].tolist()
         seen.update(k)
         at = 0
-        while at < len(k):  # texts of about 4 MB together
+        while at < len(k):  # texts of about 1 MB together
             to, size = at, 0
-            while to < len(k) and (to == at or size + len(texts[to]) < 4_000_000):
+            while to < len(k) and (to == at or size + len(texts[to]) < 1_000_000):
                 size += len(texts[to])
                 to += 1
             h, ends = shingle_sets(texts[at:to], words)
