@@ -194,14 +194,14 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
     edges = stage(verify(one, alive, pct), "edges")
     comp = components(edges, "a", "b").withColumnRenamed("node", "k")
 
-    # Whoever is still apart from a list's other components tries members that differ from shingle to shingle.
-    for salt in range(2):
-        at = post.join(comp.select(F.col("k").alias("lead"), "component"), "lead", "left").withColumn("component", F.coalesce("component", "lead"))
-        pick = at.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "token", "lead").alias("h"), F.col("lead").alias("b"), F.col("component").alias("c"))).alias("x"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-        tries = at.join(pick.where("c0 <> c1").select("token", "x"), "token").where(F.col("component") != F.col("x.c"))
-        tries = tries.select(F.least("lead", "x.b").alias("a"), F.greatest("lead", "x.b").alias("b")).distinct()
-        edges = stage(edges.unionByName(verify(tries, alive, pct)), "edges")
-        comp = components(edges, "a", "b").withColumnRenamed("node", "k")
+    # Whoever is still apart from a list's other components tries two members that differ from shingle to shingle.
+    at = post.join(comp.select(F.col("k").alias("lead"), "component"), "lead", "left").withColumn("component", F.coalesce("component", "lead"))
+    low = [F.min(F.struct(F.xxhash64(F.lit(salt), "token", "lead").alias("h"), F.col("lead").alias("b"), F.col("component").alias("c"))) for salt in range(2)]
+    pick = at.groupBy("token").agg(F.array(*low).alias("x"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+    tries = at.join(pick.where("c0 <> c1").select("token", F.explode("x").alias("x")), "token").where(F.col("component") != F.col("x.c"))
+    tries = tries.select(F.least("lead", "x.b").alias("a"), F.greatest("lead", "x.b").alias("b")).distinct()
+    edges = stage(edges.unionByName(verify(tries, alive, pct)), "edges")
+    comp = components(edges, "a", "b").withColumnRenamed("node", "k")
 
     tagged = stage(alive.select("k", "g", "size").join(comp, "k", "left").withColumn("component", F.coalesce("component", "k")), "tagged")
     mixed = tagged.groupBy("g").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
