@@ -20,30 +20,35 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = got.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = got.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+    return out.where("u <> v")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether the distinct edges (u > v) are stars already: every u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    role = ends.groupBy("node").agg(F.sum("up").alias("n"), F.min("up").alias("low"))
+    return role.where("n > 1 or (n = 1 and low = 0)").isEmpty()
 
 
 def components(edges: DataFrame, src: str = "u", dst: str = "v", max_rounds: int = 60) -> DataFrame:
     """(node, component): component is the smallest node reachable over undirected edges.
 
     Nodes are of any ordered type. Null ends and self loops are ignored; a node without an edge gets no row. Each
-    round halves distances at least, so rounds grow with the logarithm of the longest path. Nothing is collected but a
-    count and a checksum; a node with very many neighbours is met by partial aggregation and a join that AQE can split.
+    round halves distances at least, so rounds grow with the logarithm of the longest path; edges that are stars need
+    none. Nothing is collected but a flag; a node with very many neighbours is met by partial aggregation and a join
+    that AQE can split.
     """
     e = stage(
-        edges.select(F.least(src, dst).alias("u"), F.greatest(src, dst).alias("v"))
+        edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v"))
         .where(F.col(src).isNotNull() & F.col(dst).isNotNull() & (F.col(src) != F.col(dst)))
         .distinct(),
         "edges",
     )
-    seen = None
-    for _ in range(max_rounds):
-        e = stage(_star(_star(e, True), False), "edges")
-        mark = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (mark.n, mark.s) == seen or mark.n == 0:
-            break
-        seen = (mark.n, mark.s)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    stars = e.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("component"))
+    rounds = 0
+    while not _settled(e):
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        e = stage(_star(_star(e, True), False).distinct(), "edges")
+        rounds += 1
+    stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
