@@ -172,6 +172,18 @@ def verify(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "na", "nb").mapInPandas(go, "a long, b long")
 
 
+def join_components(tagged: DataFrame, found: DataFrame) -> DataFrame:
+    """tagged (k, component and more) after links (a, b) between its members; only linked components are searched."""
+    found = stage(found, "links")
+    if found.isEmpty():
+        return tagged
+    side = lambda x: tagged.select(F.col("k").alias(x), F.col("component").alias(f"c{x}"))
+    top = components(found.join(side("a"), "a").join(side("b"), "b").select("ca", "cb"), "ca", "cb")
+    top = top.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    out = tagged.join(top, "component", "left").withColumn("component", F.coalesce("top", "component"))
+    return stage(out.select(*tagged.columns), "tagged")
+
+
 def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_000) -> DataFrame:
     """k, size, component (a text's hash) of each distinct text. texts: k, text."""
     spark = texts.sparkSession
@@ -191,19 +203,17 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
 
     one = stars(alive, ["g"], "k").unionByName(stars(post, ["token"], "lead")).unionByName(stars(post, ["token", "size"], "lead"))
     one = one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    edges = stage(verify(one, alive, pct), "edges")
-    comp = components(edges, "a", "b").withColumnRenamed("node", "k")
+    comp = components(verify(one, alive, pct), "a", "b").withColumnRenamed("node", "k")
+    tagged = stage(alive.select("k", "g", "size").join(comp, "k", "left").withColumn("component", F.coalesce("component", "k")), "tagged")
 
     # Whoever is still apart from a list's other components tries two members that differ from shingle to shingle.
-    at = post.join(comp.select(F.col("k").alias("lead"), "component"), "lead", "left").withColumn("component", F.coalesce("component", "lead"))
+    at = post.join(tagged.select(F.col("k").alias("lead"), "component"), "lead")
     low = [F.min(F.struct(F.xxhash64(F.lit(salt), "token", "lead").alias("h"), F.col("lead").alias("b"), F.col("component").alias("c"))) for salt in range(2)]
     pick = at.groupBy("token").agg(F.array(*low).alias("x"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     tries = at.join(pick.where("c0 <> c1").select("token", F.explode("x").alias("x")), "token").where(F.col("component") != F.col("x.c"))
     tries = tries.select(F.least("lead", "x.b").alias("a"), F.greatest("lead", "x.b").alias("b")).distinct()
-    edges = stage(edges.unionByName(verify(tries, alive, pct)), "edges")
-    comp = components(edges, "a", "b").withColumnRenamed("node", "k")
+    tagged = join_components(tagged, verify(tries, alive, pct))
 
-    tagged = stage(alive.select("k", "g", "size").join(comp, "k", "left").withColumn("component", F.coalesce("component", "k")), "tagged")
     mixed = tagged.groupBy("g").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
     open_ = post.join(mixed, "g")
     several = open_.groupBy("token").agg(F.min("c0").alias("t0"), F.max("c1").alias("t1")).where("t0 <> t1").select("token")
@@ -219,8 +229,8 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
     across = pairs.join(m, "g").join(o, "h").where("ca <> cb").select("a", "b")
     split = tagged.join(mixed.where("c0 <> c1").select("g"), "g").select("g", "k", "component")
     within = split.select("g", F.col("k").alias("a"), F.col("component").alias("ca")).join(split.select("g", F.col("k").alias("b"), F.col("component").alias("cb")), "g").where("a < b and ca <> cb").select("a", "b")
-    more = stage(verify(across.unionByName(within), alive, pct), "edges")
-    comp = components(edges.unionByName(more), "a", "b").withColumnRenamed("node", "k")
+    tagged = join_components(tagged, verify(across.unionByName(within), alive, pct))
+    comp = tagged.select("k", "component")
     return sets.select("k", "size").join(comp, "k", "left").select("k", "size", F.coalesce("component", "k").alias("component"))
 
 
