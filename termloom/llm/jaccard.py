@@ -184,7 +184,7 @@ def join_components(tagged: DataFrame, found: DataFrame) -> DataFrame:
     return stage(out.select(*tagged.columns), "tagged")
 
 
-def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_000) -> DataFrame:
+def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_000, rounds: int = 2) -> DataFrame:
     """k, size, component (a text's hash) of each distinct text. texts: k, text."""
     spark = texts.sparkSession
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -195,10 +195,10 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
     sets = stage(sets, "sets")
     alive = stage(sets.where("prefix is not null").select("k", "size", "unique", "prefix", "shared", F.sha2(F.concat_ws(",", F.col("size").cast("string"), F.col("prefix").cast("array<string>")), 256).alias("g")), "alive")
     groups = alive.groupBy("g").agg(F.min("k").alias("lead"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("unique").alias("unique"))
-    post = stage(groups.select("g", "lead", "size", F.posexplode("prefix").alias("i", "token"), "unique").select("token", "g", "lead", "size", (F.col("unique") + F.col("i")).alias("pos")), "postings")
+    post = stage(groups.select("g", "lead", "size", "unique", F.posexplode("prefix").alias("i", "token")).select("token", "g", "lead", "size", "unique", (F.col("unique") + F.col("i")).alias("pos")), "postings")
 
     def stars(rows: DataFrame, by: list[str], member: str) -> DataFrame:
-        low = rows.groupBy(*by).agg(F.min(member).alias("b"))
+        low = rows.groupBy(*by).agg(F.min(F.struct("unique", member))[member].alias("b"))
         return rows.join(low, by).select(F.col(member).alias("a"), "b")
 
     one = stars(alive, ["g"], "k").unionByName(stars(post, ["token"], "lead")).unionByName(stars(post, ["token", "size"], "lead"))
@@ -206,13 +206,19 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
     comp = components(verify(one, alive, pct), "a", "b").withColumnRenamed("node", "k")
     tagged = stage(alive.select("k", "g", "size").join(comp, "k", "left").withColumn("component", F.coalesce("component", "k")), "tagged")
 
-    # Whoever is still apart from a list's other components tries two members that differ from shingle to shingle.
-    at = post.join(tagged.select(F.col("k").alias("lead"), "component"), "lead")
-    low = [F.min(F.struct(F.xxhash64(F.lit(salt), "token", "lead").alias("h"), F.col("lead").alias("b"), F.col("component").alias("c"))) for salt in range(2)]
-    pick = at.groupBy("token").agg(F.array(*low).alias("x"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-    tries = at.join(pick.where("c0 <> c1").select("token", F.explode("x").alias("x")), "token").where(F.col("component") != F.col("x.c"))
-    tries = tries.select(F.least("lead", "x.b").alias("a"), F.greatest("lead", "x.b").alias("b")).distinct()
-    tagged = join_components(tagged, verify(tries, alive, pct))
+    # Whoever is still apart from a list's other components tries some members, others in each round: one without many
+    # shingles of its own, and two that differ from shingle to shingle. This only leaves less to the exact step below.
+    for i in range(rounds):
+        lead = tagged.groupBy("g", "component").agg(F.min_by("k", F.xxhash64(F.lit(i), "k")).alias("a"))
+        at = post.select("token", "g", "size", "unique").join(lead, "g")
+        one_of = lambda *first: F.min(F.struct(*first, F.col("a").alias("b"), F.col("component").alias("c"), F.col("size").alias("n")))
+        salted = [F.xxhash64(F.lit(3 * i + j), "token", "a") for j in range(3)]
+        pick = [one_of(F.col("unique").alias("o"), salted[0].alias("h")), *(one_of(F.lit(0).cast("long").alias("o"), x.alias("h")) for x in salted[1:])]
+        pick = at.groupBy("token").agg(F.array(*pick).alias("x"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+        tries = at.join(pick.where("c0 <> c1").select("token", F.explode("x").alias("x")), "token").where(F.col("component") != F.col("x.c"))
+        tries = tries.where(f"100 * least(size, x.n) >= {pct} * greatest(size, x.n)")
+        tries = tries.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
+        tagged = join_components(tagged, verify(tries, alive, pct))
 
     mixed = tagged.groupBy("g").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
     open_ = post.join(mixed, "g")
