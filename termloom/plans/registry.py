@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.functions import dates, text
-from termloom.operators import calendar, candidates, dedup, evaluate, resolve
+from termloom.functions import class_time, dates, text
+from termloom.operators import calendar, candidates, compiling, dedup, evaluate, fields, resolve
 from termloom.sources import files
 
 QUERIES: dict = {}
@@ -222,6 +222,58 @@ def pii_guard(spark, sf_dir):
     return files.pii_findings(table(spark, sf_dir, "documents"), ["school.example"], "doc_id")
 
 
+@query("select o_orderkey as doc_id, (year(d) + 10)::int as academic_year, case when month(d) <= 6 then '봄' else '가을' end as term, 'ABC' || lpad((o_orderkey % 10000)::varchar, 4, '0') as course_code, '통계학' as title_ko, 'Statistics' as title_en, case when o_orderkey % 20 <= 10 then (o_orderkey % 20)::double end as credits, case when o_orderkey % 3 > 0 then 2 end as n_shares from (select o_orderkey, o_orderdate::date as d from orders)")
+def rule_fields(spark, sf_dir):
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    share = (k % 3 * 40).cast("string")
+    t = F.concat((F.year(d) + 10).cast("string"), F.lit("학년도 "), F.when(F.month(d) <= 6, "1").otherwise("2"), F.lit("학기\n과목명: 통계학(Statistics)\n학수번호: ABC"), F.lpad((k % 10000).cast("string"), 4, "0"), F.lit("\n학점: "), (k % 20).cast("string"), F.lit("\n평가: 출석 "), share, F.lit("% 시험 "), (100 - k % 3 * 40).cast("string"), F.lit("%"))
+    t = F.when(k % 3 > 0, t).otherwise(F.regexp_replace(t, "출석 0%", "출석"))
+    docs = table(spark, sf_dir, "orders").select(k.alias("doc_id"), t.alias("text"))
+    return fields.rule_fields(docs).select("doc_id", "academic_year", "term", "course_code", "title_ko", "title_en", "credits", F.when(F.col("grading").isNotNull(), F.size("grading")).alias("n_shares"))
+
+
+@query("select o_orderkey, dayname(o_orderdate) as day, lpad((8 + o_orderkey % 10)::varchar, 2, '0') || ':00' as start, lpad((9 + o_orderkey % 10)::varchar, 2, '0') || ':15' as end_time from orders")
+def class_time_slots(spark, sf_dir):
+    h = (F.col("o_orderkey") % 10).cast("int")
+    t = F.concat(F.upper(F.date_format("o_orderdate", "EEE")), F.lit(" "), (8 + h).cast("string"), F.lit(":00-"), (9 + h).cast("string"), F.lit(":15 (104-E101)"))
+    x = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(class_time.class_slots(t)).alias("s"))
+    return x.select("o_orderkey", F.col("s.day").alias("day"), F.col("s.start").alias("start"), F.col("s.end").alias("end_time"))
+
+
+@query("select l_orderkey as plan_id, l_linenumber::int as week, l_linestatus as topic, case when l_linenumber = 4 then 'Homework' end as remarks from lineitem")
+def plan_tables(spark, sf_dir):
+    k = F.col("l_linenumber")
+    row = F.array(k.cast("string"), F.lit(""), F.col("l_linestatus"), F.when(k == 4, "Homework").otherwise(""))
+    t = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("plan_id")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    t = t.withColumn("header", F.array(*map(F.lit, ["Week", "Date", "Topic", "Remarks"])))
+    return compiling.plan_rows(t).select("plan_id", "week", "topic", "remarks")
+
+
+@query("select distinct l_orderkey as plan_id, l_linenumber::int as week, case when l_linenumber = 4 then 'exam' else 'assignment' end as kind, case when l_linenumber = 4 then 'midterm' end as type from lineitem where l_linenumber in (4, 6)")
+def plan_events(spark, sf_dir):
+    k = F.col("l_linenumber")
+    r = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("plan_id"), k.alias("week"), k.alias("seq"), F.when(k == 4, "Midterm Exam").when(k == 5, "no class, quiz").otherwise("Topic").alias("topic"), F.when(k == 6, "Homework 1").alias("remarks"))
+    return compiling.events_from_rows(r).select("plan_id", F.col("week").cast("int").alias("week"), "kind", "type")
+
+
+@query("with e as (select *, row_number() over (partition by l_orderkey, l_linestatus order by l_linenumber) as r from lineitem) select l_orderkey as doc_id, l_linenumber as seq from e where l_returnflag = 'R' union all select l_orderkey, l_linenumber from (select *, row_number() over (partition by l_orderkey, l_linestatus order by l_linenumber) as q from lineitem where l_returnflag <> 'R') where q = 1")
+def undated_events(spark, sf_dir):
+    e = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("seq"), F.lit("quiz").alias("type"), F.col("l_linestatus").alias("title"), F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("date")).alias("resolved_date"))
+    return compiling.collapse_undated(e).select("doc_id", "seq")
+
+
+@query("with o as (select o_orderkey, o_custkey, o_orderdate::date as d, case when o_custkey % 2 = 0 then 1995 end as a from orders), n as (select o_custkey, year(d) as y, count(*) as n, max(a) as a from o group by 1, 2), y as (select o_custkey, coalesce(max(a), arg_min(y, (-n, y)))::int as doc_year from n group by 1) select o_orderkey, doc_year, case when abs(year(case when year(d) = a - 1 then d + interval 1 year else d end) - doc_year) > 1 then 'review' else 'confirmed' end as bucket from o join y using (o_custkey)")
+def compile_buckets(spark, sf_dir):
+    e = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("doc_id"), F.lit("Quiz").alias("title"), F.col("o_orderdate").cast("date").alias("resolved_date"), F.lit(False).alias("needs_review"), F.when(F.col("o_custkey") % 2 == 0, 1995).alias("academic_year"))
+    return compiling.compile_events(e).select("o_orderkey", "doc_year", "bucket")
+
+
+@query("with r as (select c_custkey, c_mktsegment, ceil(row_number() over (partition by c_mktsegment order by c_custkey) / case when c_mktsegment = 'BUILDING' then 2.0 else 1.0 end)::int as turn from customer where c_mktsegment in ('BUILDING', 'MACHINERY')) select c_custkey, turn from r order by turn, c_mktsegment desc, c_custkey limit 20")
+def round_robin_sample(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return compiling.round_robin(c, "c_mktsegment", "c_custkey", ["MACHINERY", "BUILDING"], 20, ["BUILDING"]).select("c_custkey", "turn")
+
+
 def queries():
     return dict(QUERIES)
 
