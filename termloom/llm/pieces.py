@@ -120,15 +120,15 @@ def marked(text: str) -> str:
 class Encoder:
     """Encodes batches of texts; remembers words up to `remember` of them."""
 
-    def __init__(self, model: Pieces, remember: int = 1_000_000, long_word: int = 64):
-        self.model, self.remember, self.long_word, self.known = model, remember, long_word, {}
+    def __init__(self, model: Pieces, remember: int = 1_000_000, long_word: int = 64, together: int = 6_000_000):
+        self.model, self.remember, self.long_word, self.together, self.known = model, remember, long_word, together, {}
         self.root = model.trie()
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         at = 0
         while at < len(texts):  # texts of some megabytes together: the more words, the more they share
             to, size = at, 0
-            while to < len(texts) and (to == at or size + len(texts[to]) < 6_000_000):
+            while to < len(texts) and (to == at or size + len(texts[to]) < self.together):
                 size += len(texts[to])
                 to += 1
             cut = [_WORD.findall(marked(t)) for t in texts[at:to]]
@@ -166,23 +166,29 @@ class Decoder:
         return out[1:] if out.startswith(" ") else out
 
 
-def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:
-    """doc_id, n_pieces, n_bytes, ids_sha256 (little-endian 32-bit ids), round_trip and, if wanted, ids."""
+def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, remember: int = 1_000_000, together: int = 6_000_000) -> DataFrame:
+    """doc_id, n_pieces, n_bytes, ids_sha256 (little-endian 32-bit ids), round_trip and, if wanted, ids.
+
+    A worker remembers `remember` words and cuts texts of about `together` characters at once; both bound its memory only.
+    """
     byte_ids = set(model.byte_ids)
 
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, dec = Encoder(model), Decoder(model)
+        enc, dec = Encoder(model, remember, together=together), Decoder(model)
         is_byte = np.zeros(len(model.texts), dtype=bool)
         is_byte[list(byte_ids)] = True
         for b in batches:
             texts = [t or "" for t in b["text"]]
-            rows = []
-            for g, t in zip(enc.encode(texts), texts):
-                rows.append((len(g), int(is_byte[g].sum()), hashlib.sha256(g.tobytes()).hexdigest(), dec.decode(g) == t.replace(MARK, " "), g))
-            out = pd.DataFrame({"doc_id": b["doc_id"].array})
-            for j, name in enumerate(("n_pieces", "n_bytes", "ids_sha256", "round_trip", "ids")[: 4 + ids]):
-                out[name] = pd.Series([r[j] for r in rows], dtype=("int64", "int64", object, bool, object)[j])
-            yield out
+            rows, held, names = [], 0, b["doc_id"]
+            for i, (g, t) in enumerate(zip(enc.encode(texts), texts)):
+                rows.append((len(g), int(is_byte[g].sum()), hashlib.sha256(g.tobytes()).hexdigest(), dec.decode(g) == t.replace(MARK, " "), *[g] * ids))
+                held += len(g)
+                if held >= 500_000 or i == len(texts) - 1:
+                    out = pd.DataFrame({"doc_id": names.iloc[i + 1 - len(rows) : i + 1].array})
+                    for j, name in enumerate(("n_pieces", "n_bytes", "ids_sha256", "round_trip", "ids")[: 4 + ids]):
+                        out[name] = pd.Series([r[j] for r in rows], dtype=("int64", "int64", object, bool, object)[j])
+                    yield out
+                    rows, held = [], 0
 
     kind = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     schema = f"doc_id {kind}, n_pieces long, n_bytes long, ids_sha256 string, round_trip boolean{', ids array<int>' * ids}"
