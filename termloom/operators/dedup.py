@@ -59,24 +59,68 @@ def estimated_jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(same / SLOTS, F.lit(0.0))
 
 
+def _keys(least: float) -> tuple[int, list[tuple[int, int]]]:
+    """Slots that must agree, and ranges of slots of which every linked pair agrees in one at least.
+
+    A pair that differs in d slots or fewer agrees throughout one of any d + 1 ranges. Where that takes more ranges than
+    there are bands, the bands are the ranges, and pairs are those that share a band.
+    """
+    need = next((n for n in range(SLOTS + 1) if n / SLOTS >= least), SLOTS + 1)
+    parts = max(1, min(SLOTS - need + 1, BANDS))
+    ends = [SLOTS * i // parts for i in range(parts + 1)]
+    return need, list(zip(ends, ends[1:]))
+
+
+def _merge(tagged: DataFrame, links: DataFrame) -> DataFrame:
+    """tagged (h, c) after links (c, d) between components."""
+    links = stage(links.distinct(), "links")
+    if links.isEmpty():
+        return tagged
+    top = components(links, "c", "d").select(F.col("node").alias("c"), F.col("component").alias("top"))
+    return stage(tagged.join(top, "c", "left").select("h", F.coalesce("top", "c").alias("c")), "tagged")
+
+
+def linked(sigs: DataFrame, least: float = 0.9, rounds: int = 2) -> DataFrame:
+    """h, c (smallest h of the component) of signatures (h, sig) under links of an estimated similarity of `least` or more.
+
+    Members of a bucket first try its smallest, then, where they are still in another component, salted ones, which
+    only leaves less to the last step: it compares every pair of a bucket whose members are in different components.
+    """
+    need, ranges = _keys(least)
+    of = lambda i, lo, hi: F.struct(F.lit(i).alias("b"), F.xxhash64(F.slice("sig", lo + 1, F.lit(hi - lo))).alias("key"))
+    keys = stage(sigs.select("h", F.explode(F.array(*[of(i, lo, hi) for i, (lo, hi) in enumerate(ranges)])).alias("x")).select("h", "x.b", "x.key"), "keys")
+    shared = keys.groupBy("b", "key").agg(F.count("*").alias("n")).where("n > 1").select("b", "key")
+    keys = stage(keys.join(shared, ["b", "key"]), "keys")
+    agree = lambda x, y: F.expr(" + ".join(f"int({x}[{i}] = {y}[{i}])" for i in range(SLOTS))) >= need
+    tagged = stage(sigs.select("h", F.col("h").alias("c")), "tagged")
+    for i in range(rounds + 1):
+        at = keys.join(tagged, "h")
+        order = F.col("h") if i == 0 else F.xxhash64(F.lit(i), "b", "key", "h")
+        pick = at.groupBy("b", "key").agg(F.min(F.struct(order.alias("o"), F.col("h").alias("g"), F.col("c").alias("d"))).alias("x"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+        tries = at.join(pick.where("c0 <> c1").select("b", "key", "x.g", "x.d"), ["b", "key"]).where("c <> d").select("h", "g", "c", "d").distinct()
+        both = tries.join(sigs.withColumnRenamed("sig", "s1"), "h").join(sigs.select(F.col("h").alias("g"), F.col("sig").alias("s2")), "g")
+        tagged = _merge(tagged, both.where(agree("s1", "s2")).select("c", "d"))
+    at = keys.join(tagged, "h")
+    mixed = at.groupBy("b", "key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("b", "key")
+    left = stage(at.join(mixed, ["b", "key"]).join(sigs, "h").select("b", "key", "c", "sig"), "open")
+    x, y = left.select("b", "key", "c", F.col("sig").alias("s1")), left.select("b", "key", F.col("c").alias("d"), F.col("sig").alias("s2"))
+    return _merge(tagged, x.join(y, ["b", "key"]).where("c < d").where(agree("s1", "s2")).select("c", "d"))
+
+
 def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9) -> DataFrame:
-    """doc_id, cluster (smallest id), size. Equal texts are one signature; buckets compare with their first member.
+    """doc_id, cluster (smallest id), size. Equal texts are one node, equal signatures link without being compared.
 
-    Signatures are computed once per distinct text. Within a bucket every signature is compared with the smallest, so a
-    bucket of any size costs as many pairs as it has members.
+    Signatures are computed once per distinct text. Every pair of signatures that shares a band and has an estimated
+    similarity of `least` or more is a link; pairs within a component need no comparison.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     ids = stage(d.select("doc_id", "h"), "ids")
     once = d.groupBy("h").agg(F.min("text").alias("text"))
-    sigs = stage(once.select("h", signature(F.col("text")).alias("sig")).where("sig is not null"), "signatures")
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("b"), F.xxhash64(F.slice("sig", b * ROWS + 1, F.lit(ROWS))).alias("key"))))
-    bands = sigs.select("h", band.alias("x")).select("h", "x.b", "x.key")
-    lead = bands.groupBy("b", "key").agg(F.min("h").alias("lead"))
-    pairs = bands.join(lead, ["b", "key"]).where("h <> lead").select("h", "lead").distinct()
-    both = pairs.join(sigs.withColumnRenamed("sig", "s1"), "h").join(sigs.select(F.col("h").alias("lead"), F.col("sig").alias("s2")), "lead")
-    edges = both.where(estimated_jaccard(F.col("s1"), F.col("s2")) >= least).select(F.col("h").alias("u"), F.col("lead").alias("v"))
-    comp = components(edges)
-    got = ids.join(comp.withColumnRenamed("node", "h"), "h", "left").withColumn("c", F.coalesce("component", "h"))
+    texts = stage(once.select("h", signature(F.col("text")).alias("sig")).where("sig is not null"), "signatures")
+    sigs = stage(texts.groupBy("sig").agg(F.min("h").alias("h")).select("h", "sig"), "signatures")
+    same = texts.join(sigs.withColumnRenamed("h", "first"), "sig").select("h", "first")
+    comp = same.join(linked(sigs, least).withColumnRenamed("h", "first"), "first").select("h", F.col("c").alias("component"))
+    got = ids.join(comp, "h", "left").withColumn("c", F.coalesce("component", "h"))
     names = got.groupBy("c").agg(F.min("doc_id").alias("cluster"), F.count("*").alias("size"))
     return got.join(names, "c").select("doc_id", "cluster", "size")
 

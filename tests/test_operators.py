@@ -1,5 +1,6 @@
 from datetime import date
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from termloom.operators import calendar, candidates, dedup, evaluate, resolve
@@ -54,6 +55,25 @@ def test_clusters(spark):
     assert got[1] == got[2] == got[3] == 1 and got[4] == 4 and got[6] == 6
 
 
+def test_clusters_without_a_linked_lead(spark, monkeypatch):
+    g = np.random.default_rng(8)
+    x = g.integers(0, 2**62, (340, 48))
+    for base, f in zip(g.integers(0, 2**62, (6, 48)), range(0, 300, 50)):  # families of copies with 95% of the slots kept
+        x[f : f + 50] = np.where(g.random((50, 48)) < 0.95, base, x[f : f + 50])
+    x[300:] = np.where(g.random((40, 48)) < 0.8, g.integers(0, 2**62, 48), x[300:])  # a template: most pairs below 0.9
+    want = list(range(340))
+    for i, j in zip(*np.nonzero(np.triu((x[:, None] == x[None]).sum(axis=2) >= 44, 1))):
+        a, b = sorted((want[i], want[j]))
+        want = [a if c == b else c for c in want]
+    monkeypatch.setattr(dedup, "signature", lambda text: F.split(text, ",").cast("array<bigint>"))
+    d = spark.createDataFrame([(i, ",".join(map(str, v.tolist()))) for i, v in enumerate(x)], "doc_id int, text string")
+    got = {r.doc_id: r.cluster for r in dedup.clusters(d).collect()}
+    assert [got[i] for i in range(340)] == want
+    sigs = d.select(F.col("doc_id").cast("long").alias("h"), dedup.signature(F.col("text")).alias("sig"))
+    alone = {r.h: r.c for r in dedup.linked(sigs, rounds=0).collect()}  # the last step has more to do
+    assert [alone[i] for i in range(340)] == want
+
+
 def test_evaluate(spark):
     rows = [("class_schedule", "class_schedule"), ("ta_office_hours", "class_schedule"), ("unknown", "unknown"), ("class_schedule", "unknown")]
     r = evaluate.evaluate(spark.createDataFrame(rows, "truth string, prediction string")).first()
