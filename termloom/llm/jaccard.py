@@ -241,27 +241,27 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
 
 
 def near_texts(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text", bucket: int = 3_000_000) -> DataFrame:
-    """doc_id, k (hash of the text), n_shingles, component_id of every row."""
+    """doc_id, k (hash of the text), n_shingles, component_id, component (its least text; null without shingles) of every row."""
     text: Column = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("k"))
     per = text_components(docs.select(F.xxhash64(text).alias("k"), text.alias("text")), words, pct, bucket)
     rows = stage(rows, "rows")
     named = stage(rows.groupBy("k").agg(F.min("doc_id").alias("least")).join(per, "k"), "texts")
     lead = named.where("size > 0").groupBy("component").agg(F.min("least").alias("component_id"))
-    per = named.select("k", "size", F.when(F.col("size") > 0, F.col("component")).alias("component")).join(lead, "component", "left").select("k", "size", "component_id")
+    per = named.select("k", "size", F.when(F.col("size") > 0, F.col("component")).alias("component")).join(lead, "component", "left").select("k", "size", "component_id", "component")
     out = rows.join(per, "k")
-    return out.select("doc_id", "k", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "k", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "component")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each component, that of the smallest id; rows without shingles all stay.
 
-    Of rows that repeat the id and the text of the one that stays, one stays. Rows of a component without any id are
-    ordered by their hash. Texts travel once, to be joined with the names of what stays.
+    Components are told apart by their texts, so those that share a least id or have none keep a row each. Of rows that
+    repeat the id and the text of the one that stays, one stays. Rows of a component without any id are ordered by their
+    hash. Texts travel once, to be joined with the names of what stays.
     """
-    found = near_texts(docs, words, pct, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("k").alias("__k"), "n_shingles", "component_id")
-    stay = found.where((F.col("n_shingles") > 0) & F.col("__id").eqNullSafe(F.col("component_id")))
-    stay = stay.groupBy("__id").agg(F.min("__k").alias("__k"))
+    found = near_texts(docs, words, pct, id_col, text_col).where("n_shingles > 0")
+    stay = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__id"), F.col("k").alias("__k"))).alias("x")).select("x.__id", "x.__k")
     d = docs.withColumn("__k", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     full = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     kept = d.where(full).join(stay, d[id_col].eqNullSafe(stay["__id"]) & (d["__k"] == stay["__k"]), "left_semi").dropDuplicates([id_col, "__k"])

@@ -222,6 +222,15 @@ def test_jaccard(spark, docs, words, pct):
     assert one.columns == docs.columns and {5, 6, 8, 1} <= {r.doc_id for r in one.collect()} and 2 not in {r.doc_id for r in one.collect()}
 
 
+def test_one_of_each_component(spark):
+    t = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdefg"]
+    near = t[0].replace("a29", "changed")
+    r = [(None, t[0]), (None, t[1]), (None, near), (7, t[2]), (7, t[3]), (7, t[3]), (8, t[3]), (None, t[4]), (9, t[4]), (7, t[4] + " more"), (3, t[5]), (None, None), (None, "")]
+    got = [(x.doc_id, x.text) for x in jaccard.one_of_each(spark.createDataFrame([(i, x, None, None, 0, "", "") for i, x in r], SCHEMA)).collect()]
+    want = [(None, t[1]), (7, t[2]), (7, t[3]), (7, t[4] + " more"), (3, t[5]), (None, None), (None, "")]
+    assert sorted(map(str, got)) in [sorted(map(str, [*want, (None, x)])) for x in (t[0], near)]
+
+
 def test_warc(spark, tmp_path):
     long = "<p>é " + "x" * 5000 + "</p>"
     p = [(1, "http://a/ b", long), (2, None, long), (3, "http://c", None), (4, "http://d", "short"), (5, "http://e", "short"), (0, "http://f", "y" * 200), (None, "http://g", "y" * 200)]
