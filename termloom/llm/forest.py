@@ -5,9 +5,15 @@ go to both sides. Vectors that share a leaf of any tree are compared exactly, in
 the first leaf that it shares, in the order of leaves, so that counts of links need no table of pairs; of the links of a
 leaf only a spanning forest leaves the task. Equal vectors are one class with a count, so copies cost nothing.
 
+Splits would cut a group of distinct vectors that is larger than a leaf at every level. So vectors of the sample that
+link with many others represent such groups: what links with a representative is a member of its core and leaves the
+forest. A partner of a member is within twice the angle of a link from the representative; members are compared exactly
+with each other and with all vectors within that bound, in blocks, so no pair with a member is lost. That costs the
+square of a dense group, as the number of its links is of that order.
+
 The splits are fitted on the `sample` classes with the smallest hashes; every class is indexed. The depth follows from
-the number of classes, so leaves hold about `leaf` of them. Links found are exact; the recall over pairs is measured in
-the tests. Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing
+the number of classes outside of cores, so leaves hold about `leaf` of them. Representatives are sought among `scout` of
+the sample. Links found are exact; the recall over pairs is measured in the tests. Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing
 and are their own component; vectors of different lengths don't link; repeated rows are links of each other; a null id
 counts as a link but names no component; an empty table gives an empty result; extra columns are ignored.
 """
@@ -142,7 +148,54 @@ def links_in_leaf(pdf: pd.DataFrame, least: float, starts: dict[int, int], block
     )
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf: int = 1024, spill: float = 0.2, sample: int = 65_536, id_col: str = "vec_id", vec_col: str = "embedding", seed: int = 11) -> DataFrame:
+def representatives(x: np.ndarray, least: float, many: float) -> tuple[list[int], np.ndarray]:
+    """Rows that link with `many` or more rows which no row before them links with, and whether each row is left over."""
+    count = np.concatenate([(x[lo : lo + 512] @ x.T >= least).sum(axis=1) for lo in range(0, len(x), 512)])
+    left, out = np.ones(len(x), dtype=bool), []
+    for i in np.argsort(-count, kind="stable").tolist():
+        if count[i] < many:
+            break
+        if left[i]:
+            near = x @ x[i] >= least
+            if (near & left).sum() >= many:
+                out.append(i)
+                left &= ~near
+    return out, left
+
+
+def links_in_core(pdf: pd.DataFrame, least: float, block: int = 1024, wide: int = 4096) -> pd.DataFrame:
+    """Counts of links between a block of a core's members and another block, and edges to its representative.
+
+    pdf: a, b (the blocks), unit (the row's own), member, k, n, vec, rep. Other blocks may hold vectors that are no members.
+    """
+    a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
+    pdf = pdf.sort_values("k", ignore_index=True)
+    left, right = pdf[pdf["unit"] == a], pdf[pdf["unit"] == b]
+    none = pd.DataFrame({"k": pd.Series([], dtype=object), "n": pd.Series([], dtype="int64"), "other": pd.Series([], dtype=object)})
+    if left.empty or right.empty:
+        return none
+    x, y = unit(left["vec"]), unit(right["vec"])
+    nx, ny = left["n"].to_numpy(dtype=np.float64), right["n"].to_numpy(dtype=np.float64)
+    cx, cy = np.zeros(len(x)), np.zeros(len(y))
+    for lo in range(0, len(x), block):
+        for at in range(0, len(y), wide):
+            hit = x[lo : lo + block] @ y[at : at + wide].T >= least
+            if a == b:  # not with itself
+                own = np.arange(max(lo, at), min(lo + block, at + wide, len(x)))
+                hit[own - lo, own - at] = False
+            hit = hit.astype(np.float64)
+            cx[lo : lo + block] += hit @ ny[at : at + wide]
+            if a != b:
+                cy[at : at + wide] += nx[lo : lo + block] @ hit
+    edge = lambda rows, on: [r if o else None for r, o in zip(rows["rep"], on)]
+    out = [pd.DataFrame({"k": left["k"], "n": cx.astype(np.int64), "other": edge(left, np.full(len(left), a == b))})]
+    if a != b:
+        out.append(pd.DataFrame({"k": right["k"], "n": cy.astype(np.int64), "other": edge(right, ~right["member"].to_numpy(dtype=bool) & (cy > 0))}))
+    got = pd.concat(out, ignore_index=True)
+    return got[(got["n"] > 0) | got["other"].notna()]
+
+
+def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf: int = 1024, spill: float = 0.2, sample: int = 65_536, id_col: str = "vec_id", vec_col: str = "embedding", seed: int = 11, scout: int = 16_384) -> DataFrame:
     """vec_id, n_links, component_id, kept."""
     v = F.col(vec_col)
     ok = usable(v)
@@ -151,10 +204,20 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf:
     rows = stage(vectors.select(F.col(id_col).alias("vec_id"), key.alias("k"), F.when(ok, F.transform(v, lambda x: x.cast("double"))).alias("vec")), "vectors")
     classes = stage(rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.first("vec").alias("vec")), "classes")
     sizes = classes.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n")).collect()  # one row per length
-    models, first = {}, 0
+    models, first, cores, reps = {}, 0, {}, []
+    deep = lambda n: min(max(0, math.ceil(math.log2(max(1, n) / leaf))), int(math.log2(sample / 16)))
     for s in sorted(sizes):
-        depth = min(max(0, math.ceil(math.log2(max(1, s.n) / leaf))), int(math.log2(sample / 16)))
-        x = unit([r.vec for r in classes.where(F.size("vec") == s.dim).orderBy("k").limit(sample if depth else 1).select("vec").collect()])
+        depth = deep(s.n)
+        got = classes.where(F.size("vec") == s.dim).orderBy("k").limit(sample if depth else 1).select("k", "vec").collect()
+        x = unit([r.vec for r in got])
+        if depth:
+            some = x[:scout]
+            chosen, left = representatives(some, least, max(8, leaf / 2 * len(some) / s.n))
+            if chosen:
+                cores[s.dim] = (len(reps), some[chosen])
+                reps += [got[i].k for i in chosen]
+                x = x[~np.concatenate([(x[lo : lo + 4096] @ some[chosen].T >= least).any(axis=1) for lo in range(0, len(x), 4096)])]
+                depth = min(deep(s.n * left.mean()), int(math.log2(max(1.0, len(x) / 16))))
         models[s.dim] = [(Tree(seed * 1000 + t, depth, s.dim).fit(x, spill), first + t * 2**depth) for t in range(trees if depth else 1)]
         first += len(models[s.dim]) * 2**depth
 
@@ -173,8 +236,41 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf:
                 out = part.iloc[rows_]
                 yield pd.DataFrame({"leaf": leaf_, "k": pd.Series(out["k"].tolist(), dtype=object), "n": out["n"].to_numpy(), "vec": out["vec"].to_numpy(), "leaves": [lists[r] for r in rows_]})
 
-    indexed = classes.select("k", "n", "vec").mapInPandas(index, "leaf long, k string, n long, vec array<double>, leaves array<long>")
-    found = stage(indexed.groupBy("leaf").applyInPandas(lambda p: links_in_leaf(p, least, starts), "k string, n long, other string"), "links")
+    # A vector is a member of the first core whose representative it links with; its pairs are found there, or in an
+    # earlier core, whose members may link with it if it is within the bound.
+    bound = 2 * least * least - 1 - 1e-9 if least > 0 else -2.0
+
+    def gather(batches):
+        for b in batches:
+            for dim, part in b.groupby(b["vec"].map(len)):
+                base, r = cores.get(dim, (0, np.zeros((0, dim))))
+                sim = unit(part["vec"]) @ r.T
+                inside = sim >= least
+                home = np.where(inside.any(axis=1), inside.argmax(axis=1), len(r)) if len(r) else np.zeros(len(part), dtype=np.int64)
+                near = (sim >= bound) & (np.arange(len(r)) < home[:, None])
+                yield part.assign(home=np.where(home < len(r), home + base, -1), near=[(np.flatnonzero(m) + base).tolist() for m in near])
+
+    rest, found_in = classes, None
+    if cores:
+        held = stage(classes.select("k", "n", "vec").mapInPandas(gather, "k string, n long, vec array<double>, home long, near array<long>"), "cores")
+        rest = held.where("home < 0")
+        member = held.where("home >= 0").select("k", "n", "vec", F.col("home").alias("core"), F.lit(True).alias("member"))
+        other = held.select("k", "n", "vec", F.explode("near").alias("core"), F.lit(False).alias("member"))
+        parts = member.unionByName(other)
+        many = parts.groupBy("core").agg(F.count_if("member").alias("m"), F.count_if(~F.col("member")).alias("o")).collect()  # one row per core
+        size = lambda m: min(max(m // 8, 4096), 16_384)
+        plan = [(r.core, reps[r.core], -(-r.m // size(r.m)), -(-r.o // size(r.m))) for r in many]
+        plan = vectors.sparkSession.createDataFrame(plan, "core long, rep string, bm long, bo long")
+        spread = F.when(F.col("member"), F.pmod(F.xxhash64("k"), F.col("bm"))).otherwise(F.col("bm") + F.pmod(F.xxhash64("k"), F.col("bo")))
+        parts = parts.join(F.broadcast(plan), "core").withColumn("unit", spread)
+        meets = F.sequence(F.lit(0).cast("long"), F.when(F.col("member"), F.col("bm") + F.col("bo")).otherwise(F.col("bm")) - 1)
+        parts = parts.where("bm > 0").withColumn("with", F.explode(meets))
+        parts = parts.select("core", F.least("unit", "with").alias("a"), F.greatest("unit", "with").alias("b"), "unit", "member", "k", "n", "vec", "rep")
+        found_in = parts.groupBy("core", "a", "b").applyInPandas(lambda p: links_in_core(p, least), "k string, n long, other string")
+
+    indexed = rest.select("k", "n", "vec").mapInPandas(index, "leaf long, k string, n long, vec array<double>, leaves array<long>")
+    found = indexed.groupBy("leaf").applyInPandas(lambda p: links_in_leaf(p, least, starts), "k string, n long, other string")
+    found = stage(found.unionByName(found_in) if found_in is not None else found, "links")
     count = found.where("n > 0").groupBy("k").agg(F.sum("n").alias("links"))
     comp = components(found.where("other is not null").select(F.col("k").alias("u"), F.col("other").alias("v")))
     named = classes.select("k", "n", "least").join(comp.withColumnRenamed("node", "k"), "k", "left").withColumn("component", F.coalesce("component", "k"))

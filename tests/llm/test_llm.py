@@ -112,6 +112,22 @@ def test_forest(spark):
     assert forest.near_vectors(d.limit(0)).count() == 0
 
 
+def test_forest_with_a_large_dense_group(spark):
+    g = np.random.default_rng(6)
+    x = g.standard_normal((9000, 32))
+    x[:3000] = x[0] + 0.2 * g.standard_normal((3000, 32))  # cosines of about 0.96
+    x[3000:4000] = x[0] + 0.35 * g.standard_normal((1000, 32))  # its surroundings, partly linked with it
+    x[4000:4600] = x[4000] + 0.2 * g.standard_normal((600, 32))
+    x[4600:4620] = x[0]
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in forest.near_vectors(d, leaf=64).collect()}
+    n, s = brute_links(x, 0.95)
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= n).all() and found.sum() >= 0.98 * n.sum() and (found[4600:4620] == n[4600:4620]).all()
+    linked = [i for i in range(9000) if s[0, i]]
+    assert all(got[i].component_id == 0 for i in linked)
+
+
 def brute_repeats(texts, length):
     raw = [(t or "").encode() for t in texts]
     c = Counter(r[i : i + length] for r in raw for i in range(len(r) - length + 1))
