@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.lineage import stage
+from termloom.operators.lineage import stage, unstage
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -48,7 +48,8 @@ def components(edges: DataFrame, src: str = "u", dst: str = "v", max_rounds: int
     while not _settled(e):
         if rounds == max_rounds:
             raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-        e = stage(_star(_star(e, True), False).distinct(), "edges")
+        before, e = e, stage(_star(_star(e, True), False).distinct(), "edges")
+        unstage(before)
         rounds += 1
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

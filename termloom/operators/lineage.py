@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: spark.checkpoint.dir of the session, or a temporary one where it is unset (tests)."""
+    """The shared folder: spark.checkpoint.dir of the session, or a temporary one where it is unset on a local master."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = getattr(shared_dir, "local", None) or tempfile.mkdtemp(prefix="termloom-")
         shared_dir.local = path
     jsc = spark.sparkContext._jsc.sc()
@@ -34,4 +36,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more; other tables are left alone."""
+    path = getattr(df, "_staged_at", None)
+    if path:
+        spark = df.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
