@@ -4,20 +4,24 @@ A string of `length` bytes repeats if it starts in two places, of one text or of
 that many bytes only, and a bucket at a time:
 
 1. A suffix's bucket is its anchor, the 32-byte gram of least hash among its first `length` bytes. Neighbouring suffixes
-   share an anchor, so one record, the bytes of a run of suffixes, stands for some 85 of them; equal strings have equal
-   anchors. Anchors are counted over all texts, and a run whose anchor occurs once is done.
-2. The runs of the other anchors are sent to their buckets, equal runs of a task as one with a count. An anchor that
-   occurs more than `hot` times is no bucket: its suffixes go singly to buckets of their own content.
+   share an anchor, so one record, a run of suffixes, stands for some 85 of them; equal strings have equal anchors. A run
+   whose anchor occurs once is done, and a run that occurs twice as a whole repeats as a whole, which needs no bytes.
+2. Of the other anchors every distinct run is sent to its bucket once, with whether it occurs once or more often.
 3. A bucket sorts its suffixes block after block: by their residue and first 32 bytes, ties by the precomputed rank of the cover
    sample that follows, and by the last bytes. Runs are laid so that anchors fall on the period of the cover; suffixes
    that can be equal then have the same residue, and the same shift leads both to a sample. Samples are ranked by 168
-   bytes, so the three keys cover the string whatever the shift. Strings met twice are marked in their runs.
-4. The marks go back to the texts, whose covered bytes are removed.
-
-Texts are known by a 64-bit hash of their content, runs by 128 bits. Defined results: a null text is empty; a text
-shorter than `length` keeps all; repeated rows are texts of their own, so each loses what it shares with the other;
-removed bytes may cut a character, hence the result is bytes; an empty table gives an empty result; extra columns are
-ignored. A task holds a block of runs of `block` bytes and its longest text.
+   bytes, so the three keys cover the string whatever the shift. Strings met twice are marked in the runs that occur once.
+4. An anchor with more than `dense` distinct runs is no bucket. Its runs are cut into bands of `BAND` offsets from the
+   anchor; the bytes that all strings of a band share are its bucket, and steps 1 to 3 hold for bands as for runs. A band
+   that is dense again is cut into its strings, which are counted by 128 bits.
+5. The marks go back to the texts, whose covered bytes are removed.
+
+Texts and runs are known by 128 bits of their content. A run, a text or an anchor that holds more than one
+ten-thousandth of all rows is joined by broadcast, so no hot key makes a large task; there are at most ten thousand such.
+Defined results: a null text is empty; a text shorter than `length` keeps all; repeated rows are texts of their own, so
+each loses what it shares with the other; ties don't arise, as what occurs twice is marked wherever it is; removed bytes
+may cut a character, hence the result is bytes; an empty table gives an empty result; extra columns are ignored. A task
+holds a block of runs of `block` bytes and its longest text.
 """
 
 from __future__ import annotations
@@ -27,16 +31,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.jaccard import _pack, _unpack
 from termloom.llm.shingles import mix64
 from termloom.operators.lineage import stage
+from termloom.operators.skew import hot_keys, skew_join
 
 GRAM = 32
 #: Period of the cover and of the samples; samples are ranked by `length` less this.
 PERIOD = 32
+#: Offsets from the anchor that one band of a dense anchor holds.
+BAND = 24
+TEXT = ["k1", "k2"]
 
 
 def _words(buf: np.ndarray) -> np.ndarray:
@@ -71,13 +79,16 @@ def runs_of(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     if n <= 0:
         return none, none, none, none, np.zeros(0, dtype=np.uint64)
     h = gram_hashes(buf)
-    bits = np.uint64(max(1, int(len(h)).bit_length()))
-    key = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)  # ties go to the leftmost
-    pad = -len(key) % wide
-    blocks = np.concatenate([key, np.full(pad, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, wide)
-    ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    at = (np.minimum(behind[:n], ahead[wide - 1 : wide - 1 + n]) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    at = np.empty(n, dtype=np.int64)
+    bits, low = np.uint64(24), np.uint64((1 << 24) - 1)
+    for lo in range(0, n, 1 << 23):  # the same bits of a hash decide whatever the length; ties go to the leftmost
+        g = h[lo : lo + (1 << 23) + wide - 1]
+        key = (g >> bits << bits) | np.arange(len(g), dtype=np.uint64)
+        blocks = np.concatenate([key, np.full(-len(key) % wide, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, wide)
+        ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
+        behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+        m = min(1 << 23, n - lo)
+        at[lo : lo + m] = (np.minimum(behind[:m], ahead[wide - 1 : wide - 1 + m]) & low).astype(np.int64) + lo
     owner = np.repeat(np.arange(len(texts)), sizes)[:n]
     ok = np.arange(n) + length <= first[owner + 1]
     p, at, owner = np.flatnonzero(ok), at[ok], owner[ok]
@@ -154,103 +165,121 @@ def _batches(pdf: pd.DataFrame, limit: int = 2_000_000) -> Iterator[tuple[list[b
         yield raw[at:], pdf.iloc[at:]
 
 
-def covered(texts: DataFrame, length: int = 200, hot: int = 20_000, block: int = 2_000_000) -> DataFrame:
-    """k, spans: removed byte ranges (starts and ends alternating, sorted, apart) of texts with any. texts: k, text."""
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(max(12, total // 100_000_000))
+def text_key(text: Column) -> list[Column]:
+    """Two hashes of 64 bits each."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
-    def anchors(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            times = pdf["k"].value_counts()
-            for raw, part in _batches(pdf[~pdf["k"].duplicated()]):
-                t, _, _, _, h = runs_of(raw, length)
-                k = part["k"].to_numpy()[t]
-                n = times.loc[k].to_numpy() if len(k) else np.zeros(0, dtype=np.int64)
-                b = (h % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(b, kind="stable")
-                ends = np.searchsorted(b[order], np.arange(buckets + 1))
-                rows = [(i, _pack(k[m], h[m], n[m].astype(np.int32))) for i in range(buckets) if len(m := order[ends[i] : ends[i + 1]])]
-                yield pd.DataFrame({"bucket": pd.Series([r[0] for r in rows], dtype="int64"), "blob": pd.Series([r[1] for r in rows], dtype=object)})
-
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(b, "<i8", "<u8", "<i4") for b in pdf["blob"]]
-        k, h, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        _, at = np.unique(h, return_inverse=True)
-        total_n = np.bincount(at, n).astype(np.int64)[at]
-        keep = total_n > 1
-        order = np.lexsort((h[keep], k[keep]))
-        k, h, big = k[keep][order], h[keep][order], total_n[keep][order] > hot
-        first = np.ones(len(k), dtype=bool)
-        first[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
-        k, h, big = k[first], h[first], big[first]
-        who, lo = np.unique(k, return_index=True)
-        hi = np.append(lo[1:], len(k))
-        return pd.DataFrame({"k": who, "often": pd.Series([h[a:b].tobytes() for a, b in zip(lo, hi)], dtype=object), "hot": pd.Series([h[a:b][big[a:b]].tobytes() for a, b in zip(lo, hi)], dtype=object)})
-
-    def ship(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def runs_table(texts: DataFrame, length: int) -> DataFrame:
+    """Runs of the texts (k1, k2, text): k1, k2, lo, hi, at, h (anchor), c1, c2 (content), n (copies in its batch)."""
+
+    def go(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_128_digest
         for pdf in it:
-            times = pdf["k"].value_counts()
-            for raw, part in _batches(pdf[~pdf["k"].duplicated()]):
+            times = pdf.groupby(TEXT)["k1"].transform("size")
+            pdf = pdf.assign(n=times)[~pdf.duplicated(TEXT)]
+            for raw, part in _batches(pdf):
                 t, lo, hi, at, h = runs_of(raw, length)
-                keys = part["k"].to_numpy()
-                often = [np.sort(np.frombuffer(b"".join(x), dtype="<u8")) for x in part["often"]]
-                hots = [np.frombuffer(b"".join(x), dtype="<u8") for x in part["hot"]]
-                ends = np.searchsorted(t, np.arange(len(raw) + 1))
-                seen: dict[tuple, list] = {}
-                occ = []
-                for i in range(len(raw)):
-                    s = slice(ends[i], ends[i + 1])
-                    mine = np.flatnonzero(np.isin(h[s], often[i])) + ends[i]
-                    n = int(times[keys[i]])
-                    big = set(hots[i].tolist())
-                    for j in mine.tolist():
-                        if int(h[j]) in big:
-                            spread = [(p, p, p) for p in range(int(lo[j]), int(hi[j]) + 1)]
-                        else:
-                            spread = [(int(lo[j]), int(hi[j]), int(at[j]))]
-                        for a, b, c in spread:
-                            run = raw[i][a : b + length]
-                            name = hashlib.blake2b(run, digest_size=16).digest()
-                            key = int(h[j]) if a != b or c != a or int(h[j]) not in big else int.from_bytes(name[:8], "little")
-                            if name in seen:
-                                seen[name][4] += n
-                            else:
-                                seen[name] = [key, name, run, c - a, n]
-                            occ.append((int(keys[i]), a, name))
-                rows = list(seen.values())
-                yield pd.DataFrame({"anchor": pd.Series([r[0] - (1 << 64) if r[0] >> 63 else r[0] for r in rows] + [0] * len(occ), dtype="int64"), "name": pd.Series([r[1] for r in rows] + [o[2] for o in occ], dtype=object), "run": pd.Series([r[2] for r in rows] + [None] * len(occ), dtype=object), "lead": pd.Series([r[3] for r in rows] + [0] * len(occ), dtype="int64"), "n": pd.Series([r[4] for r in rows] + [0] * len(occ), dtype="int64"), "k": pd.Series([0] * len(rows) + [o[0] for o in occ], dtype="int64"), "p": pd.Series([0] * len(rows) + [o[1] for o in occ], dtype="int64")})
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.groupby(["anchor", "name"], sort=True, as_index=False).agg({"run": "first", "lead": "first", "n": "sum"})
-        names, marks = [], []
-        size = pdf["run"].map(len).to_numpy()
-        anchor = pdf["anchor"].to_numpy()
+                c = b"".join([digest(raw[i][a:b]) for i, a, b in zip(t.tolist(), lo.tolist(), (hi + length).tolist())])
+                c = np.frombuffer(c, dtype="<i8").reshape(-1, 2)
+                yield pd.DataFrame({"k1": part["k1"].to_numpy()[t], "k2": part["k2"].to_numpy()[t], "lo": lo, "hi": hi, "at": at, "h": h.view(np.int64), "c1": c[:, 0], "c2": c[:, 1], "n": part["n"].to_numpy()[t]})
+
+    return texts.mapInPandas(go, "k1 long, k2 long, lo int, hi int, at int, h long, c1 long, c2 long, n int")
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """rows (k1, k2, lo, hi, at, h, c1, c2, n) with whole (the content occurs twice), sends (one row of each content) and
+    d, the distinct contents of the row's bucket h."""
+    unit = F.xxhash64("k1", "k2", "lo")
+    one = stage(rows.groupBy("h", "c1", "c2").agg(F.sum("n").alias("times"), F.min(unit).alias("unit"), F.count("*").alias("n")), "contents")
+    per = one.groupBy("h").agg(F.count("*").alias("d"))
+    one_d = skew_join(one.drop("n"), per, ["h"], hot_keys(per, ["h"], "d"))
+    got = skew_join(rows, one_d, ["h", "c1", "c2"], hot_keys(one, ["h", "c1", "c2"]))
+    return got.withColumn("whole", F.col("times") >= 2).withColumn("sends", unit == F.col("unit")).drop("times", "unit", "n")
+
+
+def mark(runs: DataFrame, length: int, block: int, parts: int) -> DataFrame:
+    """k1, k2, marks: repeated starts (ranges, absolute) of the wanted runs (h, k1, k2, lo, at, whole, want, run)."""
+
+    def go(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates([*TEXT, "lo"]).sort_values(["h", *TEXT, "lo"], ignore_index=True)
+        found, marks = [], []
+        size, h = pdf["run"].map(len).to_numpy(), pdf["h"].to_numpy()
         at = 0
-        while at < len(pdf):  # whole anchors, about `block` bytes together
+        while at < len(pdf):  # whole buckets, about `block` bytes together
             to, held = at, 0
-            while to < len(pdf) and (to == at or held < block or anchor[to] == anchor[to - 1]):
+            while to < len(pdf) and (to == at or held < block or h[to] == h[to - 1]):
                 held += size[to]
                 to += 1
             part = pdf.iloc[at:to]
-            hits = repeated_starts(part["run"].tolist(), part["lead"].to_numpy(), part["n"].to_numpy(), length)
-            for name, hit in zip(part["name"], hits):
-                if hit.any():
-                    names.append(name)
-                    marks.append(_ranges(hit))
+            lo = part["lo"].to_numpy(dtype=np.int64)
+            hits = repeated_starts(part["run"].tolist(), part["at"].to_numpy(dtype=np.int64) - lo, np.where(part["whole"], 2, 1), length)
+            for i, (hit, want) in enumerate(zip(hits, part["want"])):
+                if want and hit.any():
+                    found.append(at + i)
+                    marks.append([int(lo[i]) + x for x in _ranges(hit)])
             at = to
-        return pd.DataFrame({"name": pd.Series(names, dtype=object), "marks": pd.Series(marks, dtype=object)})
-
-    often = texts.mapInPandas(anchors, "bucket long, blob binary").groupBy("bucket").applyInPandas(count, "k long, often binary, hot binary")
-    often = often.groupBy("k").agg(F.collect_list("often").alias("often"), F.collect_list("hot").alias("hot"))
-    sent = texts.join(often, "k").select("k", "text", "often", "hot").mapInPandas(ship, "anchor long, name binary, run binary, lead long, n long, k long, p long")
-    sent = stage(sent, "runs")
-    runs = sent.where("run is not null").select("anchor", "name", "run", "lead", "n")
-    size = runs.agg(F.sum(F.octet_length("run"))).first()[0] or 0
-    parts = int(max(12, size // 16_000_000))
-    marks = runs.withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(parts))).groupBy("part").applyInPandas(mark, "name binary, marks array<int>")
-    occ = sent.where("run is null").select("k", "p", "name").distinct()
-    hit = occ.join(marks, "name").select("k", F.transform("marks", lambda x: x + F.col("p")).alias("marks"))
-    per = hit.groupBy("k").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+        return pd.DataFrame({"k1": pdf["k1"].to_numpy()[found], "k2": pdf["k2"].to_numpy()[found], "marks": pd.Series(marks, dtype=object)})
+
+    dealt = runs.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts))).repartition(parts, "part")
+    return dealt.groupBy("part").applyInPandas(go, "k1 long, k2 long, marks array<int>")
+
+
+def bands(runs: DataFrame, length: int, width: int) -> DataFrame:
+    """The bands of runs (with their bytes) as rows like those of the runs: the bucket is the bytes that a band shares."""
+    b = runs.withColumn("band", F.explode(F.expr(f"sequence((at - hi) div {width}, (at - lo) div {width})")))
+    b = b.withColumn("core", (F.col("at") - width * F.col("band")).cast("int"))
+    b = b.select(*TEXT, "at", "h", "want", "whole", "band", "core", F.col("lo").alias("from"), F.greatest(F.col("lo"), F.col("core") - (width - 1)).alias("lo"), F.least("hi", "core").alias("hi"), "run")
+    b = b.withColumn("h", F.xxhash64("h", "band", F.expr(f"substring(run, core - from + 1, {length - width + 1})")))
+    b = b.withColumn("run", F.expr(f"substring(run, lo - from + 1, hi - lo + {length})"))
+    lead = F.col("at") - F.col("lo")
+    return b.select(*TEXT, "lo", "hi", "at", "h", F.xxhash64(lead, "run").alias("c1"), F.xxhash64(F.lit(1), lead, "run").alias("c2"), F.when(F.col("whole"), 2).otherwise(1).alias("n"), "want", "run")
+
+
+def covered(texts: DataFrame, length: int = 200, dense: int = 20_000, block: int = 2_000_000, hot: DataFrame | None = None, copied: DataFrame | None = None) -> DataFrame:
+    """k1, k2, spans: removed byte ranges (starts and ends alternating, sorted, apart) of texts with any.
+
+    texts: k1, k2, text. copied: the keys of texts that occur several times; hot: those of them that are hot.
+    """
+    units = stage(runs_table(texts, length), "runs")
+    per = units.groupBy("h").agg(F.sum("n").alias("n"), F.min("c1").alias("c0"), F.max("c1").alias("c9"), F.count("*").alias("rows"))
+    per = stage(per.where("n > 1").select("h", "rows", (F.col("c0") != F.col("c9")).alias("mixed")), "anchors")
+    shared = stage(skew_join(units, per.select("h", "mixed"), ["h"], hot_keys(per, ["h"], "rows")), "shared")
+    got = stage(settle(shared.where("mixed").drop("mixed")), "settled")
+    all_of = lambda df: df.select(*TEXT, F.array("lo", F.col("hi") + 1).alias("marks")).distinct()
+    marks = all_of(shared.where("not mixed").select(*TEXT, "lo", "hi")).unionByName(all_of(got.where("whole")))
+
+    sending = got.where("sends").select(*TEXT, F.struct("lo", "hi", "at", "h", "whole", (~F.col("whole")).alias("want"), (F.col("d") > dense).alias("split")).alias("u")).distinct()
+    size = F.sum(F.expr(f"u.hi - u.lo + {length}"))
+    held = sending.agg(size.alias("all"), F.count_if("u.split").alias("split")).first()
+    if held["all"]:
+        parts = lambda n: int(max(12, (n or 0) // 16_000_000))
+        per_text = sending.groupBy(*TEXT).agg(F.collect_list("u").alias("us"))
+        raw = texts.select(*TEXT, F.col("text").cast("binary").alias("raw"))
+        if copied is None:
+            met = raw.join(per_text, TEXT).dropDuplicates(TEXT)
+        else:  # texts that occur once go straight, of the others one copy
+            met = raw.join(per_text.join(copied, TEXT, "left_anti"), TEXT)
+            met = met.unionByName(skew_join(raw, per_text.join(copied, TEXT, "left_semi"), TEXT, hot).dropDuplicates(TEXT))
+        cut = F.transform("us", lambda u: F.struct(*[u[x].alias(x) for x in ("lo", "hi", "at", "h", "whole", "want", "split")], F.substring(F.col("raw"), u["lo"] + 1, u["hi"] - u["lo"] + length).alias("run")))
+        sent = met.select(*TEXT, F.explode(cut).alias("u")).select(*TEXT, "u.*")
+        if held["split"]:
+            sent = stage(sent, "sent")
+        marks = marks.unionByName(mark(sent.where("not split"), length, block, parts(held["all"])))
+        if held["split"]:
+            band = stage(bands(sent.where("split"), length, BAND), "bands")
+            got = stage(settle(band), "settled")
+            marks = marks.unionByName(all_of(got.where("whole and want")))
+            sending = got.where("sends").withColumn("want", ~F.col("whole") & F.col("want"))
+            size = sending.where(F.col("d") <= dense).agg(F.sum(F.octet_length("run"))).first()[0]
+            marks = marks.unionByName(mark(sending.where(F.col("d") <= dense), length, block, parts(size)))
+            single = sending.where(F.col("d") > dense).withColumn("p", F.explode(F.sequence("lo", "hi")))
+            string = F.expr(f"substring(run, p - lo + 1, {length})")
+            single = stage(single.select(*TEXT, "p", F.xxhash64(string).alias("c1"), F.xxhash64(F.lit(1), string).alias("c2"), F.when(F.col("whole"), 2).otherwise(1).alias("w"), "want"), "strings")
+            twice = single.groupBy("c1", "c2").agg(F.sum("w").alias("w"), F.count("*").alias("n")).where("w > 1")
+            twice = stage(twice, "twice")
+            hits = skew_join(single.where("want"), twice.select("c1", "c2"), ["c1", "c2"], hot_keys(twice, ["c1", "c2"]))
+            marks = marks.unionByName(all_of(hits.select(*TEXT, F.col("p").alias("lo"), F.col("p").alias("hi"))))
 
     def spans(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -262,16 +291,20 @@ def covered(texts: DataFrame, length: int = 200, hot: int = 20_000, block: int =
                 end = np.maximum.accumulate(x[:, 1] - 1 + length)
                 new = np.flatnonzero(np.concatenate([[True], x[1:, 0] > end[:-1]]))
                 out.append(np.stack([x[new, 0], end[np.append(new[1:], len(x)) - 1]], axis=1).reshape(-1).tolist())
-            yield pd.DataFrame({"k": pdf["k"], "spans": pd.Series(out, dtype=object)})
+            yield pdf[TEXT].assign(spans=pd.Series(out, dtype=object, index=pdf.index))
 
-    return per.mapInPandas(spans, "k long, spans array<long>")
+    per_text = marks.groupBy(*TEXT).agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    return per_text.mapInPandas(spans, "k1 long, k2 long, spans array<long>")
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, dense: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, and kept (the remaining bytes) if wanted."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("k"))
-    spans = stage(covered(docs.where(F.octet_length("text") >= length).select("k", "text"), length, hot), "spans")
+    docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *text_key(text))
+    long = docs.where(F.octet_length("text") >= length).select(*TEXT, "text")
+    copied = stage(long.groupBy(*TEXT).agg(F.count("*").alias("n")).where("n > 1"), "copied")
+    hot = hot_keys(copied, TEXT)
+    spans = stage(covered(long, length, dense, hot=hot, copied=copied.select(*TEXT)), "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -290,7 +323,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000, id_col
             yield out
 
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>{', kept binary' * keep_bytes}"
-    return docs.join(spans, "k", "left").select("doc_id", "text", "spans").mapInPandas(cut, schema)
+    return skew_join(docs, spans, TEXT, hot, "left").select("doc_id", "text", "spans").mapInPandas(cut, schema)
 
 
 def op5_suffix_repeats(spark, sf_dir: str) -> DataFrame:

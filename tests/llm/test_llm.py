@@ -140,10 +140,10 @@ def brute_repeats(texts, length):
         yield len(r), int(m.sum()), int((np.diff(m.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_repeats(spark, docs, hot):
+@pytest.mark.parametrize("dense", [20_000, 2, 1])
+def test_repeats(spark, docs, dense):
     want = sorted((str(r[0]), *b) for r, b in zip(rows(), brute_repeats([r[1] for r in rows()], 200)))
-    got = repeats.remove_repeats(docs, hot=hot).collect()
+    got = repeats.remove_repeats(docs, dense=dense).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
     assert repeats.remove_repeats(empty(spark)).count() == 0
 
