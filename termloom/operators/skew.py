@@ -5,27 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Keys that hold more than this part of all rows are hot, so there are never more hot keys than MANY.
+#: A key with more than this part of all rows is hot, so there are never more hot keys than MANY.
 MANY = 10_000
 #: Keys with fewer rows than this are never hot.
 LEAST = 2_000
 
 
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame | None:
-    """The keys (at most MANY) with more than one MANY-th of all rows; None without any. counts: a row per key, n."""
+    """keys and parts: the hot keys (at most MANY) and in how many parts to deal their rows, 2 * MANY parts at most in
+    all; None without any. counts: a row per key, n."""
     total = counts.agg(F.sum(n)).first()[0] or 0
-    rows = counts.where(F.col(n) > max(LEAST, total // MANY)).select(*keys).dropna().collect()
-    return counts.sparkSession.createDataFrame(rows, counts.select(*keys).schema) if rows else None
+    limit = max(LEAST, total // MANY)
+    hot = counts.where(F.col(n) > limit).dropna(subset=keys).select(*keys, F.ceil(F.col(n) / limit).cast("int").alias("parts"))
+    rows = hot.collect()
+    return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
-def skew_join(large: DataFrame, unique: DataFrame, keys: list[str], hot: DataFrame | None, how: str = "inner") -> DataFrame:
-    """large joined with unique, which has a row per key; rows of hot keys stay where they are.
+def skew_join(large: DataFrame, unique: DataFrame, keys: list[str], hot: DataFrame | None, by: list[str], how: str = "inner") -> DataFrame:
+    """large joined (inner or left) with unique, which has a row per key.
 
-    Hot keys are at most MANY, so what is broadcast has a bound. how: inner, left, left_semi or left_anti.
+    Rows of a hot key are dealt by a hash of the columns `by` to its parts, and unique has its row in each of them. The
+    table of hot keys is broadcast; it has at most MANY rows. Columns of the name `salt` or `parts` must not exist.
     """
     if hot is None:
         return large.join(unique, keys, how)
-    hot = F.broadcast(hot)
-    few = F.broadcast(unique.join(hot, keys, "left_semi"))
-    spread = large.join(hot, keys, "left_semi").join(few, keys, how)
-    return spread.unionByName(large.join(hot, keys, "left_anti").join(unique, keys, how))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = large.join(F.broadcast(hot), keys, "left").withColumn("salt", F.pmod(F.xxhash64(*by), parts).cast("int")).drop("parts")
+    each = unique.join(F.broadcast(hot), keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return dealt.join(each, [*keys, "salt"], how).drop("salt")
