@@ -16,8 +16,8 @@ that many bytes only, and a bucket at a time:
    that is dense again is cut into its strings, which are counted by 128 bits.
 5. The marks go back to the texts, whose covered bytes are removed.
 
-Texts and runs are known by 128 bits of their content. A run, a text or an anchor that holds more than one
-ten-thousandth of all rows is joined by broadcast, so no hot key makes a large task; there are at most ten thousand such.
+Texts and runs are known by 128 bits of their content. The rows of a run, a text or an anchor that holds more than one
+ten-thousandth of all rows are dealt to several parts for a join, so no hot key makes a large task.
 Defined results: a null text is empty; a text shorter than `length` keeps all; repeated rows are texts of their own, so
 each loses what it shares with the other; ties don't arise, as what occurs twice is marked wherever it is; removed bytes
 may cut a character, hence the result is bytes; an empty table gives an empty result; extra columns are ignored. A task
@@ -153,7 +153,7 @@ def _ranges(mask: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).tolist()
 
 
-def _batches(pdf: pd.DataFrame, limit: int = 2_000_000) -> Iterator[tuple[list[bytes], pd.DataFrame]]:
+def _batches(pdf: pd.DataFrame, limit: int = 1_000_000) -> Iterator[tuple[list[bytes], pd.DataFrame]]:
     size, at = 0, 0
     raw = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
     for i, r in enumerate(raw):
@@ -184,7 +184,7 @@ def runs_table(texts: DataFrame, length: int) -> DataFrame:
                 c = np.frombuffer(c, dtype="<i8").reshape(-1, 2)
                 yield pd.DataFrame({"k1": part["k1"].to_numpy()[t], "k2": part["k2"].to_numpy()[t], "lo": lo, "hi": hi, "at": at, "h": h.view(np.int64), "c1": c[:, 0], "c2": c[:, 1], "n": part["n"].to_numpy()[t]})
 
-    return texts.mapInPandas(go, "k1 long, k2 long, lo int, hi int, at int, h long, c1 long, c2 long, n int")
+    return texts.select(*TEXT, "text").mapInPandas(go, "k1 long, k2 long, lo int, hi int, at int, h long, c1 long, c2 long, n int")
 
 
 def settle(rows: DataFrame) -> DataFrame:
@@ -193,9 +193,9 @@ def settle(rows: DataFrame) -> DataFrame:
     unit = F.xxhash64("k1", "k2", "lo")
     one = stage(rows.groupBy("h", "c1", "c2").agg(F.sum("n").alias("times"), F.min(unit).alias("unit"), F.count("*").alias("n")), "contents")
     per = one.groupBy("h").agg(F.count("*").alias("d"))
-    one_d = skew_join(one.drop("n"), per, ["h"], hot_keys(per, ["h"], "d"))
-    got = skew_join(rows, one_d, ["h", "c1", "c2"], hot_keys(one, ["h", "c1", "c2"]))
-    return got.withColumn("whole", F.col("times") >= 2).withColumn("sends", unit == F.col("unit")).drop("times", "unit", "n")
+    one_d = skew_join(one.drop("n"), per, ["h"], hot_keys(per, ["h"], "d"), ["c1"])
+    got = skew_join(rows.drop("n"), one_d, ["h", "c1", "c2"], hot_keys(one, ["h", "c1", "c2"]), [*TEXT, "lo"])
+    return got.withColumn("whole", F.col("times") >= 2).withColumn("sends", unit == F.col("unit")).drop("times", "unit")
 
 
 def mark(runs: DataFrame, length: int, block: int, parts: int) -> DataFrame:
@@ -236,15 +236,16 @@ def bands(runs: DataFrame, length: int, width: int) -> DataFrame:
     return b.select(*TEXT, "lo", "hi", "at", "h", F.xxhash64(lead, "run").alias("c1"), F.xxhash64(F.lit(1), lead, "run").alias("c2"), F.when(F.col("whole"), 2).otherwise(1).alias("n"), "want", "run")
 
 
-def covered(texts: DataFrame, length: int = 200, dense: int = 20_000, block: int = 2_000_000, hot: DataFrame | None = None, copied: DataFrame | None = None) -> DataFrame:
+def covered(texts: DataFrame, length: int, hot: DataFrame | None, copied: DataFrame, dense: int = 20_000, block: int = 1_000_000) -> DataFrame:
     """k1, k2, spans: removed byte ranges (starts and ends alternating, sorted, apart) of texts with any.
 
-    texts: k1, k2, text. copied: the keys of texts that occur several times; hot: those of them that are hot.
+    texts: k1, k2, text, row (a hash that copies differ in). copied: the keys of texts that occur several times; hot: the
+    hot ones.
     """
     units = stage(runs_table(texts, length), "runs")
     per = units.groupBy("h").agg(F.sum("n").alias("n"), F.min("c1").alias("c0"), F.max("c1").alias("c9"), F.count("*").alias("rows"))
     per = stage(per.where("n > 1").select("h", "rows", (F.col("c0") != F.col("c9")).alias("mixed")), "anchors")
-    shared = stage(skew_join(units, per.select("h", "mixed"), ["h"], hot_keys(per, ["h"], "rows")), "shared")
+    shared = stage(skew_join(units, per.select("h", "mixed"), ["h"], hot_keys(per, ["h"], "rows"), [*TEXT, "lo"]), "shared")
     got = stage(settle(shared.where("mixed").drop("mixed")), "settled")
     all_of = lambda df: df.select(*TEXT, F.array("lo", F.col("hi") + 1).alias("marks")).distinct()
     marks = all_of(shared.where("not mixed").select(*TEXT, "lo", "hi")).unionByName(all_of(got.where("whole")))
@@ -253,14 +254,12 @@ def covered(texts: DataFrame, length: int = 200, dense: int = 20_000, block: int
     size = F.sum(F.expr(f"u.hi - u.lo + {length}"))
     held = sending.agg(size.alias("all"), F.count_if("u.split").alias("split")).first()
     if held["all"]:
-        parts = lambda n: int(max(12, (n or 0) // 16_000_000))
+        parts = lambda n: int(max(24, (n or 0) // 4_000_000))
         per_text = sending.groupBy(*TEXT).agg(F.collect_list("u").alias("us"))
-        raw = texts.select(*TEXT, F.col("text").cast("binary").alias("raw"))
-        if copied is None:
-            met = raw.join(per_text, TEXT).dropDuplicates(TEXT)
-        else:  # texts that occur once go straight, of the others one copy
-            met = raw.join(per_text.join(copied, TEXT, "left_anti"), TEXT)
-            met = met.unionByName(skew_join(raw, per_text.join(copied, TEXT, "left_semi"), TEXT, hot).dropDuplicates(TEXT))
+        raw = texts.select(*TEXT, "row", F.col("text").cast("binary").alias("raw"))
+        # Texts that occur once go straight, of the others one copy.
+        met = raw.join(per_text.join(copied, TEXT, "left_anti"), TEXT)
+        met = met.drop("row").unionByName(skew_join(raw, per_text.join(copied, TEXT, "left_semi"), TEXT, hot, ["row"]).dropDuplicates(TEXT).drop("row"))
         cut = F.transform("us", lambda u: F.struct(*[u[x].alias(x) for x in ("lo", "hi", "at", "h", "whole", "want", "split")], F.substring(F.col("raw"), u["lo"] + 1, u["hi"] - u["lo"] + length).alias("run")))
         sent = met.select(*TEXT, F.explode(cut).alias("u")).select(*TEXT, "u.*")
         if held["split"]:
@@ -278,7 +277,7 @@ def covered(texts: DataFrame, length: int = 200, dense: int = 20_000, block: int
             single = stage(single.select(*TEXT, "p", F.xxhash64(string).alias("c1"), F.xxhash64(F.lit(1), string).alias("c2"), F.when(F.col("whole"), 2).otherwise(1).alias("w"), "want"), "strings")
             twice = single.groupBy("c1", "c2").agg(F.sum("w").alias("w"), F.count("*").alias("n")).where("w > 1")
             twice = stage(twice, "twice")
-            hits = skew_join(single.where("want"), twice.select("c1", "c2"), ["c1", "c2"], hot_keys(twice, ["c1", "c2"]))
+            hits = skew_join(single.where("want"), twice.select("c1", "c2"), ["c1", "c2"], hot_keys(twice, ["c1", "c2"]), [*TEXT, "p"])
             marks = marks.unionByName(all_of(hits.select(*TEXT, F.col("p").alias("lo"), F.col("p").alias("hi"))))
 
     def spans(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -300,11 +299,11 @@ def covered(texts: DataFrame, length: int = 200, dense: int = 20_000, block: int
 def remove_repeats(docs: DataFrame, length: int = 200, dense: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, and kept (the remaining bytes) if wanted."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *text_key(text))
-    long = docs.where(F.octet_length("text") >= length).select(*TEXT, "text")
+    docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *text_key(text), F.xxhash64(id_col).alias("row"))
+    long = docs.where(F.octet_length("text") >= length).select(*TEXT, "text", "row")
     copied = stage(long.groupBy(*TEXT).agg(F.count("*").alias("n")).where("n > 1"), "copied")
     hot = hot_keys(copied, TEXT)
-    spans = stage(covered(long, length, dense, hot=hot, copied=copied.select(*TEXT)), "spans")
+    spans = stage(covered(long, length, hot, copied.select(*TEXT), dense), "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -323,7 +322,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, dense: int = 20_000, id_c
             yield out
 
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>{', kept binary' * keep_bytes}"
-    return skew_join(docs, spans, TEXT, hot, "left").select("doc_id", "text", "spans").mapInPandas(cut, schema)
+    return skew_join(docs, spans, TEXT, hot, ["row"], "left").select("doc_id", "text", "spans").mapInPandas(cut, schema)
 
 
 def op5_suffix_repeats(spark, sf_dir: str) -> DataFrame:
