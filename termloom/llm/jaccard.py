@@ -11,7 +11,8 @@ Only connected components are asked for, so pairs within a component need no ver
 against the first text of its group and of each of its prefix shingles, then every pair of groups that share a prefix
 shingle, pass the size and position filters and still hold members of different components is expanded and verified.
 A group of many near copies so costs a number of verifications in proportion to its members, and no link between
-components is lost. Texts are known by a 64-bit hash of their content and shingles by 64-bit hashes.
+components is lost. Texts are known by a 64-bit hash of their content; shingles by the high 48 bits of their hash, of whose
+low bits the bucket tells some. So beyond some billions of distinct texts a few strangers share a hash.
 
 Defined results: a null or blank text has no shingles, no links and is its own component; repeated rows and equal texts
 link; a null id is never a component's name, unless it is the row's own; an empty table gives an empty result; extra
@@ -27,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.llm.names import free_names
 from termloom.llm.shingles import shingle_sets
 from termloom.operators.components import components
 from termloom.operators.lineage import stage
@@ -72,12 +74,10 @@ def cut_texts(batches: Iterator[pd.DataFrame], words: int, buckets: int, homes:
         rows = []
         where = (h % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(where, kind="stable")
-        ends = np.searchsorted(where[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            mine = order[ends[b] : ends[b + 1]]
-            if len(mine):
-                who, many = np.unique(owner[mine], return_counts=True)
-                rows.append((b, _pack(k[who], many.astype(np.uint32), _narrow(h[mine]))))
+        there, first = np.unique(where[order], return_index=True)  # buckets with shingles only
+        for b, mine in zip(there.tolist(), np.split(order, first[1:])):
+            who, many = np.unique(owner[mine], return_counts=True)
+            rows.append((b, _pack(k[who], many.astype(np.uint32), _narrow(h[mine]))))
         home = k % homes
         for b in np.unique(home):
             rows.append((-1 - int(b), _pack(k[home == b], n[home == b])))
@@ -126,13 +126,12 @@ def count_bucket(key: tuple, pdf: pd.DataFrame, homes: int) -> pd.DataFrame:
     home = k % homes
     order = np.lexsort((k, home))
     k, h, df, home = k[order], h[order], df[order], home[order]
-    ends = np.searchsorted(home, np.arange(homes + 1))
+    there, first = np.unique(home, return_index=True)
     rows = []
-    for b in range(homes):
-        s = slice(ends[b], ends[b + 1])
-        if ends[b + 1] > ends[b]:
-            who, n = np.unique(k[s], return_counts=True)
-            rows.append((b, _pack(who, n.astype(np.uint32), _narrow(h[s]), df[s].astype(np.uint32))))
+    for b, lo, hi in zip(there.tolist(), first.tolist(), [*first[1:].tolist(), len(home)]):
+        s = slice(lo, hi)
+        who, n = np.unique(k[s], return_counts=True)
+        rows.append((b, _pack(who, n.astype(np.uint32), _narrow(h[s]), df[s].astype(np.uint32))))
     return pd.DataFrame({"home": pd.Series([r[0] for r in rows], dtype="int64"), "what": pd.Series([1] * len(rows), dtype="int64"), "blob": pd.Series([r[1] for r in rows], dtype=object)})
 
 
@@ -190,8 +189,9 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = homes = int(max(12, total // (6 * bucket)))
     cut = texts.mapInPandas(lambda b: cut_texts(b, words, buckets, homes), "bucket long, blob binary")
-    back = cut.groupBy("bucket").applyInPandas(lambda key, p: count_bucket(key, p, homes), "home long, what long, blob binary")
-    sets = back.groupBy("home").applyInPandas(lambda p: gather_home(p, pct), "k long, size long, unique long, prefix array<long>, shared binary")
+    # Tasks grow in number with the buckets, not in size.
+    back = cut.repartition(2 * buckets, "bucket").groupBy("bucket").applyInPandas(lambda key, p: count_bucket(key, p, homes), "home long, what long, blob binary")
+    sets = back.repartition(homes, "home").groupBy("home").applyInPandas(lambda p: gather_home(p, pct), "k long, size long, unique long, prefix array<long>, shared binary")
     sets = stage(sets, "sets")
     alive = stage(sets.where("prefix is not null").select("k", "size", "unique", "prefix", "shared", F.sha2(F.concat_ws(",", F.col("size").cast("string"), F.col("prefix").cast("array<string>")), 256).alias("g")), "alive")
     groups = alive.groupBy("g").agg(F.min("k").alias("lead"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("unique").alias("unique"))
@@ -261,11 +261,14 @@ def one_of_each(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "d
     hash. Texts travel once, to be joined with the names of what stays.
     """
     found = near_texts(docs, words, pct, id_col, text_col).where("n_shingles > 0")
-    stay = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__id"), F.col("k").alias("__k"))).alias("x")).select("x.__id", "x.__k")
-    d = docs.withColumn("__k", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    full = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = d.where(full).join(stay, d[id_col].eqNullSafe(stay["__id"]) & (d["__k"] == stay["__k"]), "left_semi").dropDuplicates([id_col, "__k"])
-    return kept.unionByName(d.where(~full)).drop("__k")
+    i, k, n = free_names(docs.columns, "id", "k", "n")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "k"))
+    stay = found.groupBy("component").agg(least.alias("x")).select(F.col("x.id").alias(i), F.col("x.k").alias(n))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    full = text.rlike(r"[^\x20\x09-\x0D]")
+    d = docs.withColumn(k, F.xxhash64(text))
+    kept = d.where(full).join(stay, d[id_col].eqNullSafe(stay[i]) & (d[k] == stay[n]), "left_semi").dropDuplicates([id_col, k])
+    return kept.unionByName(d.where(~full)).drop(k)
 
 
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -3,11 +3,13 @@
 Every source lays its documents, in a seeded shuffled order, on a line of words and cuts the line into blocks of equal
 word count. The schedule takes the 2**m points of the base-2 van der Corput sequence, maps each through the cumulative
 slot weights of the sources, ranks the slots of each source, and slot r of a source takes its block r modulo its number
-of blocks. A source above its own size is so repeated block by block; the last slot is cut to the word.
+of blocks. A source above its own size is so repeated block by block; the last slot is cut to the word. A document is
+taken at the slots of the block that holds its first word, and the mix is written in the order of slots.
 
 Defined results: a null or blank text has size 0 and is never taken; a null source is a source of its own, last in
 order; repeated rows are documents of their own; rows that tie in the shuffle are ordered by id and size, and rows equal
-in all of these are interchangeable; an empty table gives an empty result; extra columns are ignored.
+in all of these are interchangeable; a very long text spans many blocks, and its row is in one task only when it is
+taken; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.llm.names import free_names
 from termloom.operators.lineage import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,16 +45,19 @@ def share_targets(sizes: list[int], weights: list[float], cap: float = 3.0) -> l
     return target
 
 
-def place(docs: DataFrame, seed: int = 0, buckets: int = 4096) -> DataFrame:
-    """Start of each document on its source's shuffled line of words: src, doc_id, size, start.
+def place(docs: DataFrame, buckets: int = 4096) -> DataFrame:
+    """Start of each row on its source's shuffled line of words: src, doc_id, size, key, start.
 
-    docs: src, doc_id, size, key. Prefix sums go by buckets of the shuffled order, so that no source is one task.
+    docs: src, doc_id, size, key, n (equal rows). Prefix sums go by buckets of the shuffled order, so that no source is
+    one task, and equal rows share one place in them.
     """
-    d = docs.withColumn("bucket", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "key"), 64 - (buckets - 1).bit_length()))
+    d = docs.withColumn("bucket", F.shiftrightunsigned("key", 64 - (buckets - 1).bit_length()))
+    d = d.withColumn("all", F.col("n") * F.col("size"))
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = d.groupBy("src", "bucket").agg(F.sum("size").alias("n")).select("src", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    base = d.groupBy("src", "bucket").agg(F.sum("all").alias("words")).select("src", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("src", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    return d.withColumn("upto", F.sum("size").over(within)).join(base, ["src", "bucket"]).select("src", "doc_id", "size", "key", (F.col("base") + F.col("upto") - F.col("size")).alias("start"))
+    at = d.withColumn("upto", F.sum("all").over(within)).join(base, ["src", "bucket"])
+    return at.select("src", "doc_id", "size", "key", F.expr("base + upto - all").alias("first"), F.explode(F.expr("sequence(0L, n - 1)")).alias("i")).select("src", "doc_id", "size", "key", F.expr("first + i * size").alias("start"))
 
 
 def schedule(spark, plan: list[dict], block: int) -> DataFrame:
@@ -73,56 +79,69 @@ def schedule(spark, plan: list[dict], block: int) -> DataFrame:
     return s.select("src", "slot", "rank", "block", "epoch", full.alias("full"), F.least(full, F.col("take") - F.col("epoch") * F.col("src_size") - F.col("block") * block).alias("words"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = (5, 2, 1), cap: float = 3.0, max_slots: int = 1 << 18, min_block: int = 64, seed: int = 0, max_sources: int = 100_000) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, copies.
+def document_key(id_: Column, text: Column, seed: int) -> Column:
+    """The place of a document in the seeded shuffle."""
+    return F.xxhash64(F.lit(seed), id_, text)
 
-    weights repeat over the sources in code-point order, null last. copies is how often a mix of whole documents takes
-    the document: the slots of the block that holds its first word. The table of sources is collected, and more than
-    max_sources of them raise an error. max_slots bounds the schedule; blocks of at least
-    min_block words grow with the corpus instead.
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = (5, 2, 1), cap: float = 3.0, max_slots: int = 1 << 18, min_block: int = 64, max_block: int = 1_000_000, seed: int = 0, max_sources: int = 100_000) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken, copies, slot, slots, key.
+
+    weights repeat over the sources in code-point order, null last. slots are the places in the schedule of the block
+    that holds the document's first word, in order: a mix of whole documents takes the document there, `copies` times,
+    first at `slot`. The table of sources is collected, and more than max_sources of them raise an error. Blocks have
+    min_block words or more; they grow with the corpus up to max_block, from where on the schedule grows beyond max_slots.
     """
     spark = docs.sparkSession
     src = F.when(F.col(source_col).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string")))
     text = F.col(text_col)
-    d = stage(docs.select(src.alias("src"), F.col(id_col).alias("doc_id"), word_count(text).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("key")), "mix")
-    got = d.groupBy("src").agg(F.sum("size").alias("size")).limit(max_sources + 1).collect()
+    d = docs.select(src.alias("src"), F.col(id_col).alias("doc_id"), word_count(text).alias("size"), document_key(F.col(id_col), text, seed).alias("key"))
+    d = stage(d.groupBy("src", "doc_id", "size", "key").agg(F.count("*").alias("n")), "mix")
+    got = d.groupBy("src").agg(F.sum(F.col("n") * F.col("size")).alias("size"), F.count("*").alias("rows")).limit(max_sources + 1).collect()
     if len(got) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
     names = sorted(((r.src, r["size"]) for r in got), key=lambda r: r[0].encode("utf-8", "surrogatepass"))
     targets = share_targets([s for _, s in names], [weights[i % len(weights)] for i in range(len(names))], cap)
     plan = [{"src": n, "size": s, "target": t, "take": min(round(t), int(cap * s))} for (n, s), t in zip(names, targets)]
-    block = max(min_block, -(-sum(p["take"] for p in plan) // max_slots))
+    block = min(max(min_block, -(-sum(p["take"] for p in plan) // max_slots)), max_block)
     slots = schedule(spark, plan, block)
     cut = F.col("words") < F.col("full")
-    takes = slots.groupBy("src", "block").agg(F.count_if(~cut).alias("whole"), F.coalesce(F.max(F.when(cut, F.col("words"))), F.lit(0)).alias("part"), F.count("*").alias("slots"))
-    at = place(d, seed)
-    pieces = at.where("size > 0").select("*", F.posexplode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("nth", "block")).join(takes, ["src", "block"], "left")
+    takes = slots.groupBy("src", "block").agg(F.count_if(~cut).alias("whole"), F.coalesce(F.max(F.when(cut, F.col("words"))), F.lit(0)).alias("part"), F.array_sort(F.collect_list("slot")).alias("slots"))
+    at = place(d.where("size > 0"), max(4096, 1 << (sum(r["rows"] for r in got) // 4096).bit_length()))
+    pieces = at.select("*", F.posexplode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("nth", "block")).join(takes, ["src", "block"], "left")
     low, high = F.greatest("start", F.col("block") * block), F.least(F.expr("start + size"), (F.col("block") + 1) * block)
     words = F.coalesce(F.col("whole") * (high - low) + F.greatest(F.lit(0), F.least(high, F.col("block") * block + F.col("part")) - low), F.lit(0))
-    taken = pieces.groupBy("src", "doc_id", "size", "start").agg(F.sum(words).alias("taken"), F.max(F.when(F.col("nth") == 0, F.coalesce("slots", F.lit(0)))).alias("copies"))
-    none = d.where("size = 0").select("src", "doc_id", "size", F.lit(0).cast("long").alias("taken"), F.lit(0).cast("long").alias("copies"))
+    none = F.array().cast("array<long>")
+    taken = pieces.groupBy("src", "doc_id", "size", "key", "start").agg(F.sum(words).alias("taken"), F.first(F.when(F.col("nth") == 0, F.coalesce("slots", none)), ignorenulls=True).alias("slots"))
+    blank = d.where("size = 0").select("src", "doc_id", "size", "key", F.lit(0).cast("long").alias("taken"), none.alias("slots"), F.explode(F.expr("sequence(1L, n)"))).drop("col")
     per = spark.createDataFrame([(p["src"], p["size"], float(p["target"])) for p in plan], "src string, source_size long, target double")
-    out = taken.drop("start").unionByName(none).join(F.broadcast(per), "src")
-    return out.select("doc_id", F.when(F.col("src") != "1", F.expr("substring(src, 2)")).alias("source"), "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), F.col("copies").cast("long").alias("copies"))
+    out = taken.drop("start").unionByName(blank).join(F.broadcast(per), "src")
+    return out.select("doc_id", F.when(F.col("src") != "1", F.expr("substring(src, 2)")).alias("source"), "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), F.size("slots").cast("long").alias("copies"), F.get("slots", F.lit(0)).alias("slot"), "slots", "key")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: docs with each row as often as the schedule takes it, blank texts left out.
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, window: int = 1_000_000, **options) -> DataFrame:
+    """The mix itself: docs with each row at the slots that the schedule gives it, blank texts left out.
 
-    Rows that repeat an id within a source share the copies of all of them, dealt by their order.
+    Rows come in the order of the schedule: every window of about `window` words of it is in one partition, sorted by
+    slot, so that each has the mix of the whole. Rows equal in id, text and source are one document, of which one row
+    is taken as often as all of them are. The columns are those of docs, whatever their names.
     """
-    got = mix(docs, id_col, text_col, source_col, **options).where("size > 0")
-    take = got.groupBy("doc_id", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
-    take = take.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "copies", "n").withColumnsRenamed({"copies": "__copies", "n": "__n"}).where("__copies > 0")
+    key, src, slot, win, k, s = free_names(docs.columns, "key", "src", "slot", "window", "k", "s")
+    got = mix(docs, id_col, text_col, source_col, seed=seed, **options).where("copies > 0")
+    got = stage(got.select(F.col("key").alias(key), F.col("source").alias(src), "slots", "size"), "taken")
+    held = got.agg(F.sum(F.col("size") * F.size("slots")).alias("words"), F.max(F.array_max("slots")).alias("last")).first()
+    windows = max(1, (held["words"] or 0) // window)
+    width = max(1, -(-((held["last"] or 0) + 1) // windows))
+    several = stage(got.groupBy(key, src).agg(F.count("*").alias("n")).where("n > 1").select(key, src), "several")
     text = F.col(text_col)
-    d = docs.where(text.rlike(WORD))
-    d = d.join(take, d[id_col].eqNullSafe(take["__id"]) & d[source_col].eqNullSafe(take["__source"]))
-    once = d.where("__n = 1").withColumn("__times", F.col("__copies"))
-    order = Window.partitionBy(id_col, source_col).orderBy(F.xxhash64(text))
-    several = d.where("__n > 1").withColumn("__at", F.row_number().over(order) - 1).withColumn("__times", F.expr("__copies div __n + int(__at < __copies % __n)")).drop("__at")
-    out = once.unionByName(several).withColumn("__times", F.explode(F.expr("array_repeat(0, cast(__times as int))")))
-    return out.select(*docs.columns)
+    d = docs.where(text.rlike(WORD)).withColumns({key: document_key(F.col(id_col), text, seed), src: F.col(source_col).cast("string")})
+    same = lambda t: (d[key] == t[key]) & d[src].eqNullSafe(t[src])
+    one = d.join(several, same(several), "left_anti").unionByName(d.join(several, same(several), "left_semi").dropDuplicates([key, src]))
+    at = got.select(F.col(key).alias(k), F.col(src).alias(s), F.explode("slots").alias(slot)).withColumn(win, F.expr(f"`{slot}` div {width}"))
+    out = one.join(at, (one[key] == at[k]) & one[src].eqNullSafe(at[s]))
+    parts = int(max(min(windows, 64), windows // 16))
+    return out.repartition(parts, win).sortWithinPartitions(slot, key).select(*docs.columns)
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("slots", "key")

@@ -5,16 +5,19 @@ No piece of a model crosses such a cut, which is checked, so the best segmentati
 distinct words of a batch are sorted, which lines them up as the leaves of a trie in depth-first order: a word keeps the
 forward scores of the prefix it shares with the word before it and computes those of its further characters only.
 
-Scores of pieces add up and the highest sum wins, as a unigram model has it; of equal sums the one whose last piece is
-the longest wins. Characters without a piece cost the lowest score less 10 and become byte pieces where the model has
-them, else the unknown piece. Models in which a piece has a merge rank as its score are segmented by the sum of ranks,
-which is a valid segmentation into its pieces but not the one that merging would find.
+The path through the lattice of pieces follows from the kind of model. Scores of a unigram model add up and the highest
+sum wins; of equal sums the one whose last piece is the longest wins. Scores of a merge model are no probabilities but
+the order of merges, so the path is the one on which every two pieces in a row are what merging makes of their text:
+such a path is unique, and the last piece of a prefix depends on that prefix alone, as the forward scores do. Both give the
+ids that the model's own library gives, which the tests hold (of paths with equal sums the library may take another, as
+its sums are rounded). Characters without a piece cost the lowest score less 10
+and become byte pieces where the model has them, else runs of them one unknown piece.
 
 Decoding joins the pieces, reads runs of byte pieces as UTF-8 (bad bytes become U+FFFD), turns marks into spaces and
 drops the one in front. Defined results: a null or empty text has no pieces and decodes to the empty text; a mark in the
 text itself decodes to a space; lone surrogates can't occur in Spark's strings; repeated rows each get a row; an empty
-table gives an empty result; clashing columns of the input are not carried. Memory grows with the longest text; the
-words remembered are bounded by `remember`.
+table gives an empty result; clashing columns of the input are not carried. A very long text or word takes time in
+proportion to its length; memory grows with the longest text, and the words remembered are bounded by `remember`.
 """
 
 from __future__ import annotations
@@ -35,19 +38,89 @@ _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNK_PENALTY = 10.0
 
 
+def _fields(raw: bytes):
+    """(number, value) of the fields of a protocol buffer message; numbers of fixed width are passed over."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            b = raw[at]
+            at += 1
+            out |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return out
+
+    while at < len(raw):
+        number, kind = divmod(varint(), 8)
+        if kind == 0:
+            yield number, varint()
+        elif kind == 2:
+            n = varint()
+            yield number, raw[at : at + n]
+            at += n
+        else:
+            at += 8 if kind == 1 else 4
+
+
+# The field of a model that holds its training options, that of the kind in them, and the kind of merges.
+TRAINER, KIND, MERGES = 2, 3, 2
+
+
+def is_merge_model(proto: bytes) -> bool:
+    trainer = next((v for n, v in _fields(proto) if n == TRAINER), b"")
+    return next((v for n, v in _fields(trainer) if n == KIND), 1) == MERGES
+
+
 class Pieces:
     """A model's vocabulary: plain Python values that travel in closures; its size is the model's."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], texts: list[str], byte_ids: list[int], unk: int):
+    def __init__(self, pieces: dict[str, tuple[int, float]], texts: list[str], byte_ids: list[int], unk: int, merges: bool = False):
         self.pieces, self.texts, self.byte_ids, self.unk = pieces, texts, byte_ids, unk
         self.floor = min((s for _, s in pieces.values()), default=0.0) - UNK_PENALTY
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces):
             raise ValueError("a piece crosses the start of a marked word")
+        self.rank = self.parts = None
+        if merges:
+            self.rank = {p: r for r, p in enumerate(sorted(pieces, key=lambda p: (-pieces[p][1], pieces[p][0])))}
+            self.parts = {p: x for p in pieces if len(p) > 1 and (x := self._last_merge(p))}
+
+    def _last_merge(self, piece: str) -> tuple[str, str] | None:
+        """The two symbols whose merge makes the piece; None if merging its text doesn't end with it."""
+        out = list(piece)
+        while len(out) > 2:
+            r, i = min((self.rank.get(x + y, math.inf), i) for i, (x, y) in enumerate(zip(out, out[1:])))
+            if r == math.inf:
+                return None
+            out[i : i + 2] = [out[i] + out[i + 1]]
+        return out[0], out[1]
+
+    def stays(self, x: str, y: str) -> bool:
+        """Whether merging the text of two symbols in a row leaves the cut between them.
+
+        Their last merges are undone, the latest first; before the next one, no merge across the cut may come first.
+        """
+        limit = math.inf
+        while True:
+            if self.rank.get(x + y, math.inf) < limit:
+                return False
+            rx = self.rank[x] if x in self.parts else -1
+            ry = self.rank[y] if y in self.parts else -1
+            if rx > ry:
+                limit, x = rx, self.parts[x][1]
+            elif ry >= 0:  # of two equal merges the left one comes first
+                limit, y = ry + 1, self.parts[y][0]
+            else:
+                return True
 
     def trie(self) -> dict:
         """Nested: character to (characters below, id or -1, score)."""
         root: dict = {}
         for text, (i, score) in self.pieces.items():
+            if self.rank is not None and len(text) > 1 and text not in self.parts:
+                continue
             node = root
             for c in text[:-1]:
                 node = node.setdefault(c, ({}, -1, 0.0))[0]
@@ -64,16 +137,18 @@ class Pieces:
         byte_ids = [m.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if not m.is_byte(byte_ids[0]):
             byte_ids = []
-        return cls(own, ["" if m.is_control(i) else m.id_to_piece(i) for i in ids], byte_ids, m.unk_id())
+        return cls(own, ["" if m.is_control(i) else m.id_to_piece(i) for i in ids], byte_ids, m.unk_id(), is_merge_model(m.serialized_model_proto()))
 
 
-def segment(words: list[str], model: Pieces, root: dict | None = None) -> Iterator[tuple[str, list[int]]]:
+def segment(words: list[str], model: Pieces, root: dict | None = None, pairs: dict | None = None) -> Iterator[tuple[str, list[int]]]:
     """Words in sorted order with the ids of their pieces.
 
     live[e] holds the pieces under way after e characters: their place in the trie of pieces, and the score and
-    position of their start. It and the best score of each position depend on the prefix alone.
+    position of their start. It and the last piece of each prefix depend on the prefix alone. pairs remembers which
+    pieces of a merge model can follow each other.
     """
-    root, floor = root or model.trie(), model.floor
+    root, floor, merges = root or model.trie(), model.floor, model.rank is not None
+    pairs = {} if pairs is None else pairs
     live, back, before = [[(root, 0.0, 0)]], [(0, 0)], ""
     for w in sorted(words):
         top = min(len(w), len(before))
@@ -82,19 +157,28 @@ def segment(words: list[str], model: Pieces, root: dict | None = None) -> Iterat
             same += 1
         del live[same + 1 :], back[same + 1 :]
         for e in range(same + 1, len(w) + 1):
-            c, high, start, piece, on = w[e - 1], -math.inf, 0, -1, []
+            c, high, start, piece, on = w[e - 1], -math.inf, -1, -1, []
             for node, base, s in live[-1]:
                 child = node.get(c)
                 if child is not None:
                     below, i, score = child
-                    if i >= 0 and base + score > high:
+                    if i >= 0 and merges:
+                        if start < 0:
+                            if s:
+                                key = (w[back[s][0] : s], w[s:e])
+                                fits = pairs.get(key)
+                                if fits is None:
+                                    fits = pairs[key] = model.stays(*key)
+                            if not s or fits:
+                                high, start, piece = 0.0, s, i
+                    elif i >= 0 and base + score > high:
                         high, start, piece = base + score, s, i
                     if below:
                         on.append((below, base, s))
-            if start != e - 1 and base + floor > high and root.get(c, (0, -1))[1] < 0:
-                high, start, piece = base + floor, e - 1, -1
-            elif piece < 0:
-                high, start = base + floor, e - 1
+            if root.get(c, (0, -1))[1] < 0 and not (merges and start >= 0):
+                base = live[-1][-1][1]
+                if base + floor > high:
+                    high, start, piece = base + floor, e - 1, -1
             on.append((root, high, e))
             live.append(on)
             back.append((start, piece))
@@ -106,7 +190,7 @@ def segment(words: list[str], model: Pieces, root: dict | None = None) -> Iterat
                 ids.append(piece)
             elif model.byte_ids:
                 ids.extend(model.byte_ids[b] for b in reversed(w[s:e].encode("utf-8", "replace")))
-            else:
+            elif not ids or ids[-1] != model.unk:
                 ids.append(model.unk)
             e = s
         ids.reverse()
@@ -122,7 +206,7 @@ class Encoder:
 
     def __init__(self, model: Pieces, remember: int = 1_000_000, long_word: int = 64, together: int = 6_000_000):
         self.model, self.remember, self.long_word, self.together, self.known = model, remember, long_word, together, {}
-        self.root = model.trie()
+        self.root, self.pairs = model.trie(), {}
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         at = 0
@@ -135,9 +219,9 @@ class Encoder:
             at = to
             new = {w for words in cut for w in words if w not in self.known}
             if len(self.known) + len(new) > self.remember:
-                self.known = {}
+                self.known, self.pairs = {}, {}
                 new = {w for words in cut for w in words}
-            for w, ids in segment(list(new), self.model, self.root):
+            for w, ids in segment(list(new), self.model, self.root, self.pairs):
                 self.known[w] = np.array(ids, dtype="<i4").tobytes()
             for words in cut:
                 yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<i4")

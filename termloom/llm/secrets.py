@@ -19,6 +19,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.llm.names import free_names
 from termloom.operators.lineage import stage
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -124,16 +125,15 @@ def redact_documents(docs: DataFrame, text_col: str = "text", scope: int = 240)
     Only texts with weak candidates, which may need a link, are joined with the links of their content.
     """
     names = docs.columns
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base, weak = parts(text)
-    d = docs.withColumns({"__base": base, "__weak": weak})
-    clear = F.filter("__weak", lambda w: ~F.exists("__base", lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"])))
-    d = d.withColumn("__weak", clear)
-    sure = d.where(F.size("__weak") == 0).withColumn(text_col, redact(F.col(text_col), F.col("__base"))).select(names)
-    open_ = d.where(F.size("__weak") > 0).withColumn("__key", F.sha2(F.col(text_col), 256))
-    cand = open_.groupBy(F.col("__key").alias("key")).agg(F.first("__base").alias("base"), F.first("__weak").alias("weak"))
-    linked = link(cand, scope).withColumnRenamed("key", "__key").withColumnRenamed("linked", "__linked")
-    tied = open_.join(linked, "__key", "left").withColumn(text_col, redact(F.col(text_col), F.concat("__base", F.coalesce("__linked", F.array().cast(SPAN))))).select(names)
+    b, w, k, x = free_names(names, "base", "weak", "key", "linked")
+    base, weak = parts(F.coalesce(F.col(text_col), F.lit("")))
+    d = stage(docs.withColumns({b: base, w: weak}), "spans")  # patterns run once
+    d = d.withColumn(w, F.filter(w, lambda v: ~F.exists(b, lambda u: (u["s"] < v["e"]) & (v["s"] < u["e"]))))
+    sure = d.where(F.size(w) == 0).withColumn(text_col, redact(F.col(text_col), F.col(b))).select(names)
+    open_ = d.where(F.size(w) > 0).withColumn(k, F.sha2(F.col(text_col), 256))
+    cand = open_.groupBy(F.col(k).alias("key")).agg(F.first(b).alias("base"), F.first(w).alias("weak"))
+    linked = link(cand, scope).select(F.col("key").alias(k), F.col("linked").alias(x))
+    tied = open_.join(linked, k, "left").withColumn(text_col, redact(F.col(text_col), F.concat(b, F.coalesce(x, F.array().cast(SPAN))))).select(names)
     return sure.unionByName(tied)
 
 
