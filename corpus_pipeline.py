@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the pieces of every document, with their digest and whether they decode to the text."""
-    return pieces.encode(docs, pieces.Pieces.load(), remember=200_000, together=2_000_000)
+    return pieces.encode(docs, pieces.Pieces.load(), remember=100_000, together=1_000_000)
 
 
 STAGES = [
