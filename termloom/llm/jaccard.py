@@ -63,7 +63,7 @@ def _runs(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(keys, counts)
 
 
-def cut_texts(batches: Iterator[pd.DataFrame], words: int, buckets: int, homes: int, flush: int = 1_000_000) -> Iterator[pd.DataFrame]:
+def cut_texts(batches: Iterator[pd.DataFrame], words: int, buckets: int, homes: int, flush: int = 500_000) -> Iterator[pd.DataFrame]:
     """Packed shingles by bucket, and packed set sizes by home, of texts not seen before in this task."""
     seen: set[int] = set()
     keys, sizes, sets, held = [], [], [], 0
@@ -183,7 +183,7 @@ def join_components(tagged: DataFrame, found: DataFrame) -> DataFrame:
     return stage(out.select(*tagged.columns), "tagged")
 
 
-def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_000, rounds: int = 2) -> DataFrame:
+def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 1_500_000, rounds: int = 2) -> DataFrame:
     """k, size, component (a text's hash) of each distinct text. texts: k, text."""
     spark = texts.sparkSession
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -240,7 +240,7 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 3_000_
     return sets.select("k", "size").join(comp, "k", "left").select("k", "size", F.coalesce("component", "k").alias("component"))
 
 
-def near_texts(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text", bucket: int = 3_000_000) -> DataFrame:
+def near_texts(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text", bucket: int = 1_500_000) -> DataFrame:
     """doc_id, k (hash of the text), n_shingles, component_id, component (its least text; null without shingles) of every row."""
     text: Column = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("k"))

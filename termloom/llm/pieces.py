@@ -140,21 +140,39 @@ class Pieces:
         return cls(own, ["" if m.is_control(i) else m.id_to_piece(i) for i in ids], byte_ids, m.unk_id(), is_merge_model(m.serialized_model_proto()))
 
 
-def segment(words: list[str], model: Pieces, root: dict | None = None, pairs: dict | None = None) -> Iterator[tuple[str, list[int]]]:
-    """Words in sorted order with the ids of their pieces.
-
-    live[e] holds the pieces under way after e characters: their place in the trie of pieces, and the score and
-    position of their start. It and the last piece of each prefix depend on the prefix alone. pairs remembers which
-    pieces of a merge model can follow each other.
-    """
-    root, floor, merges = root or model.trie(), model.floor, model.rank is not None
-    pairs = {} if pairs is None else pairs
+def _ids(w: str, back: list[tuple[int, int]], model: Pieces) -> list[int]:
+    """Ids of a word's pieces from their starts and ids by end."""
+    ids, e = [], len(w)
+    while e:
+        s, piece = back[e]
+        if piece >= 0:
+            ids.append(piece)
+        elif model.byte_ids:
+            ids.extend(model.byte_ids[b] for b in reversed(w[s:e].encode("utf-8", "replace")))
+        elif not ids or ids[-1] != model.unk:
+            ids.append(model.unk)
+        e = s
+    ids.reverse()
+    return ids
+
+
+def _shared(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    i = 0
+    while a[i] == b[i]:
+        i += 1
+    return i
+
+
+def _by_score(words: list[str], model: Pieces, root: dict) -> Iterator[tuple[str, list[int]]]:
+    """live[e]: place in the trie of pieces, and score and position of the start, of the pieces under way after e characters."""
+    floor = model.floor
     live, back, before = [[(root, 0.0, 0)]], [(0, 0)], ""
-    for w in sorted(words):
-        top = min(len(w), len(before))
-        same = 0
-        while same < top and w[same] == before[same]:
-            same += 1
+    for w in words:
+        same = _shared(w, before)
         del live[same + 1 :], back[same + 1 :]
         for e in range(same + 1, len(w) + 1):
             c, high, start, piece, on = w[e - 1], -math.inf, -1, -1, []
@@ -162,20 +180,11 @@ def segment(words: list[str], model: Pieces, root: dict | None = None, pairs: di
                 child = node.get(c)
                 if child is not None:
                     below, i, score = child
-                    if i >= 0 and merges:
-                        if start < 0:
-                            if s:
-                                key = (w[back[s][0] : s], w[s:e])
-                                fits = pairs.get(key)
-                                if fits is None:
-                                    fits = pairs[key] = model.stays(*key)
-                            if not s or fits:
-                                high, start, piece = 0.0, s, i
-                    elif i >= 0 and base + score > high:
+                    if i >= 0 and base + score > high:
                         high, start, piece = base + score, s, i
                     if below:
                         on.append((below, base, s))
-            if root.get(c, (0, -1))[1] < 0 and not (merges and start >= 0):
+            if root.get(c, (0, -1))[1] < 0:
                 base = live[-1][-1][1]
                 if base + floor > high:
                     high, start, piece = base + floor, e - 1, -1
@@ -183,18 +192,55 @@ def segment(words: list[str], model: Pieces, root: dict | None = None, pairs: di
             live.append(on)
             back.append((start, piece))
         before = w
-        ids, e = [], len(w)
-        while e:
-            s, piece = back[e]
-            if piece >= 0:
-                ids.append(piece)
-            elif model.byte_ids:
-                ids.extend(model.byte_ids[b] for b in reversed(w[s:e].encode("utf-8", "replace")))
-            elif not ids or ids[-1] != model.unk:
-                ids.append(model.unk)
-            e = s
-        ids.reverse()
-        yield w, ids
+        yield w, _ids(w, back, model)
+
+
+def _by_merges(words: list[str], model: Pieces, root: dict, pairs: dict[int, bool], remember: int = 100_000) -> Iterator[tuple[str, list[int]]]:
+    """live[e]: place in the trie of pieces, and start, of the pieces under way after e characters."""
+    live, back, before, stays, n = [[(root, 0)]], [(0, -1)], "", model.stays, len(model.texts)
+    for w in words:
+        same = _shared(w, before)
+        del live[same + 1 :], back[same + 1 :]
+        if len(pairs) > remember:
+            pairs.clear()
+        for e in range(same + 1, len(w) + 1):
+            c, start, piece, on = w[e - 1], -1, -1, []
+            for node, s in live[-1]:
+                child = node.get(c)
+                if child is not None:
+                    below, i, _ = child
+                    if i >= 0 and start < 0:
+                        at, last = back[s]
+                        if not s:
+                            fits = True
+                        elif last < 0:
+                            fits = stays(w[at:s], w[s:e])
+                        else:
+                            fits = pairs.get(last * n + i)
+                            if fits is None:
+                                fits = pairs[last * n + i] = stays(w[at:s], w[s:e])
+                        if fits:
+                            start, piece = s, i
+                    if below:
+                        on.append((below, s))
+            on.append((root, e))
+            live.append(on)
+            back.append((start, piece) if start >= 0 else (e - 1, -1))
+        before = w
+        yield w, _ids(w, back, model)
+
+
+def segment(words: list[str], model: Pieces, root: dict | None = None, pairs: dict | None = None) -> Iterator[tuple[str, list[int]]]:
+    """Words in sorted order with the ids of their pieces.
+
+    What is known of a prefix, the pieces under way and the last piece, depends on the prefix alone, so a word goes on
+    from the prefix that it shares with the word before it. pairs remembers which pieces of a merge model can follow
+    each other.
+    """
+    root = root or model.trie()
+    if model.rank is None:
+        return _by_score(sorted(words), model, root)
+    return _by_merges(sorted(words), model, root, {} if pairs is None else pairs)
 
 
 def marked(text: str) -> str:
@@ -219,7 +265,7 @@ class Encoder:
             at = to
             new = {w for words in cut for w in words if w not in self.known}
             if len(self.known) + len(new) > self.remember:
-                self.known, self.pairs = {}, {}
+                self.known = {}
                 new = {w for words in cut for w in words}
             for w, ids in segment(list(new), self.model, self.root, self.pairs):
                 self.known[w] = np.array(ids, dtype="<i4").tobytes()
