@@ -13,12 +13,11 @@ LEAST = 2_000
 
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame | None:
     """keys and parts: the hot keys (at most MANY) and in how many parts to deal their rows, 2 * MANY parts at most in
-    all; None without any. counts: a row per key, n."""
+    all; None without any. counts: a row per key, n; it is read three times."""
     total = counts.agg(F.sum(n)).first()[0] or 0
     limit = max(LEAST, total // MANY)
     hot = counts.where(F.col(n) > limit).dropna(subset=keys).select(*keys, F.ceil(F.col(n) / limit).cast("int").alias("parts"))
-    rows = hot.collect()
-    return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    return None if hot.isEmpty() else hot
 
 
 def skew_join(large: DataFrame, unique: DataFrame, keys: list[str], hot: DataFrame | None, by: list[str], how: str = "inner") -> DataFrame:
