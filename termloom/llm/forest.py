@@ -283,3 +283,16 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf:
 
 def op4_vector_forest(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP4_SQL = """
+with recursive ok as (select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+    where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n as (select vec_id, v, sqrt(list_dot_product(v, v)) as norm from ok),
+links as (select a.vec_id as a, b.vec_id as b from n a join n b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+          where list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.95),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join links l on r.b = l.a)
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id) as n_links, r.component_id, e.vec_id = r.component_id as kept
+from embeddings e join (select a, min(b) as component_id from reach group by a) r on r.a = e.vec_id
+"""

@@ -274,3 +274,17 @@ def one_of_each(docs: DataFrame, words: int = 5, pct: int = 80, id_col: str = "d
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_texts(docs, words=4, pct=85).select("doc_id", "n_shingles", "component_id")
+
+
+OP9_SQL = """
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')] else
+      list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) end as s from w),
+n as (select doc_id, len(s) as n from s),
+x as (select doc_id, unnest(s) as t from s),
+met as (select a.doc_id as a, b.doc_id as b, count(*) as k from x a join x b on a.t = b.t and a.doc_id <> b.doc_id group by 1, 2),
+links as (select a, b from met join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * k >= 85 * (na.n + nb.n - k)),
+reach as (select doc_id as a, doc_id as b from n union select r.a, l.b from reach r join links l on r.b = l.a)
+select doc_id, n::bigint as n_shingles, c.component_id from n join (select a, min(b) as component_id from reach group by a) c on c.a = n.doc_id
+"""

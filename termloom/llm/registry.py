@@ -24,4 +24,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op7_pivot_topk": topk.OP7_SQL, "op10_warc": warc.OP10_SQL}
+    return {"op2_shard_bytes": sharding.OP2_SQL, "op4_vector_forest": forest.OP4_SQL, "op5_suffix_repeats": repeats.OP5_SQL, "op7_pivot_topk": topk.OP7_SQL, "op9_ngram_jaccard": jaccard.OP9_SQL, "op10_warc": warc.OP10_SQL}

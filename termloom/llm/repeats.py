@@ -327,3 +327,22 @@ def remove_repeats(docs: DataFrame, length: int = 200, dense: int = 20_000, id_c
 
 def op5_suffix_repeats(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+
+
+#: Bytes are pairs of hexadecimal digits here; a start is known by the MD5 of its 200 bytes.
+OP5_SQL = """
+with d as (select doc_id, row_number() over () as r, hex(encode(coalesce(text, ''))) as h from documents),
+block as (select r, p0, substr(h, 2 * p0 + 1, 4398) as h from (select r, h, unnest(range(0, length(h) // 2 - 199, 2000)) as p0 from d)),
+s as (select r, p0 + q as p, md5(substr(h, 2 * q + 1, 400)) as m from (select r, p0, h, unnest(range(0, length(h) // 2 - 199)) as q from block)),
+hit as (select r, p from s join (select m from s group by m having count(*) > 1) using (m)),
+edge as (select r, p, p - coalesce(lag(p) over (partition by r order by p), -1000) > 200 as fresh from hit),
+run as (select r, p, sum(fresh::int) over (partition by r order by p rows unbounded preceding) as i from edge),
+span as (select r, i, min(p) as a, max(p) + 200 as b from run group by r, i),
+per as (select r, count(*) as n_spans, sum(b - a) as n_removed, list(a order by a) as a, list(b order by a) as b from span group by r),
+kept as (select doc_id, h, n_spans, n_removed, case when per.r is null then h else
+         list_aggregate(list_transform(range(0, len(a) + 1), lambda j: substr(h, 2 * (case when j = 0 then 0 else b[j] end) + 1,
+         2 * ((case when j = len(a) then length(h) // 2 else a[j + 1] end) - (case when j = 0 then 0 else b[j] end)))), 'string_agg', '') end as k
+         from d left join per on per.r = d.r)
+select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(coalesce(k, ''))) as kept_sha256 from kept
+"""
