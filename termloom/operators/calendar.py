@@ -49,12 +49,15 @@ def rows_from_dates(entries: DataFrame, least: int = 3) -> DataFrame:
 def merge_adjacent(events: DataFrame, gap: int = 30) -> DataFrame:
     """Runs of events (doc_id, page, type, char_start, char_end, title) of one type on a page, at most gap apart.
 
-    An event of another type in between ends a run.
+    An event of another type in between ends a run. Events that tie in position, type and title share a run. Of the
+    titles the shortest stays, and a resolved_date, if there is such a column, is inherited by the run.
     """
-    w = Window.partitionBy("doc_id", "page").orderBy("char_start", "char_end")
+    w = Window.partitionBy("doc_id", "page").orderBy("char_start", "char_end", "type", "title")
     new = (F.col("type") != F.lag("type").over(w)) | (F.col("char_start") - F.lag("char_end").over(w) > gap)
-    x = events.withColumn("run", F.sum(F.coalesce(new, F.lit(True)).cast("int")).over(w))
-    return x.groupBy("doc_id", "page", "run").agg(F.first("type").alias("type"), F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end"), F.min_by("title", F.struct(F.length("title"), "char_start")).alias("title"), F.count("*").alias("merged"))
+    x = events.withColumn("new", F.coalesce(new, F.lit(True)).cast("int"))
+    x = x.withColumn("run", F.sum("new").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    dated = [F.min_by("resolved_date", F.when(F.col("resolved_date").isNotNull(), F.col("char_start"))).alias("resolved_date")] if "resolved_date" in events.columns else []
+    return x.groupBy("doc_id", "page", "run").agg(F.first("type").alias("type"), F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end"), F.min_by("title", F.struct(F.length("title"), "char_start", "title")).alias("title"), F.count("*").alias("merged"), *dated)
 
 
 def drop_undated_when_dated(events: DataFrame) -> DataFrame:

@@ -88,8 +88,8 @@ def last_table_hit_first(cands: DataFrame) -> DataFrame:
     return cands.withColumn("__r", F.row_number().over(order)).where("__r = 1").drop("__r")
 
 
-def has_any(blob: Column, cues: list[str]) -> Column:
-    low = F.lower(blob)
+def has_any(low: Column, cues: list[str]) -> Column:
+    """Whether a text in lower case holds one of the cues."""
     out = F.lit(False)
     for c in cues:
         out = out | F.contains(low, F.lit(c))
@@ -106,8 +106,9 @@ def _in_field() -> Column:
 
 def classify(cands: DataFrame) -> DataFrame:
     """label and confidence by cues, those of the candidate's own line before those of its whole context."""
-    text, whole = F.col("text"), _blob()
-    line = F.concat_ws(" ", "section", "row_label", "col_label", F.substring_index("before", "\n", -1), F.substring_index("after", "\n", 1), "text")
+    text, whole, line = F.col("text"), F.col("__whole"), F.col("__line")
+    own = F.concat_ws(" ", "section", "row_label", "col_label", F.substring_index("before", "\n", -1), F.substring_index("after", "\n", 1), "text")
+    scoped = cands.withColumns({"__whole": F.lower(_blob()), "__line": F.lower(own)})  # built once, looked through by all cues
     shape = text.rlike(CLASS_SHAPE)
     out = F.when(text.rlike(r"\d+\s*분(?:간)?") & ~F.contains(text, F.lit(":")) & ~F.contains(text, F.lit("시")), F.struct(F.lit("policy_text").alias("label"), F.lit(0.6).alias("confidence")))
     pick = lambda label, conf: F.struct(F.lit(label).alias("label"), F.lit(conf).alias("confidence"))
@@ -118,12 +119,13 @@ def classify(cands: DataFrame) -> DataFrame:
     out = out.when(has_any(whole, WEEK_PLAN) & ~shape, pick("weekly_plan", 0.75)).when(has_any(whole, POLICY), pick("policy_text", 0.6))
     cue = has_any(whole, CLASS)
     out = out.when(cue & shape, pick("class_schedule", 0.9)).when(cue & _in_field() & text.rlike(r"\d{1,2}:\d{2}|\d{1,2}\s*시"), pick("class_schedule", 0.85)).otherwise(pick("unknown", 0.4))
-    return cands.withColumn("__c", out).select(*cands.columns, "__c.label", "__c.confidence")
+    return scoped.withColumn("__c", out).select(*cands.columns, "__c.label", "__c.confidence")
 
 
 def validate(cands: DataFrame, block_events: bool = False) -> DataFrame:
     """Corrected label, in_class and reject_reason: what must never be a class meeting isn't one."""
-    text, whole, field = F.col("text"), _blob(), _in_field()
+    text, whole, field = F.col("text"), F.col("__whole"), F.col("__field")
+    scoped = cands.withColumns({"__whole": F.lower(_blob()), "__field": _in_field()})
     ask = F.col("label") == "class_schedule"
     rule = lambda name, label: F.struct(F.lit(name).alias("reason"), F.lit(label).alias("label"))
     out = F.when(~ask, F.lit(None)).when(has_any(whole, SAFE_OFFICE) & has_any(whole, TA), rule("office_context", "ta_office_hours")).when(has_any(whole, SAFE_OFFICE), rule("office_context", "instructor_office_hours"))
@@ -132,7 +134,7 @@ def validate(cands: DataFrame, block_events: bool = False) -> DataFrame:
     out = out.when(text.rlike(r"^\s*\d+\s*분(?:간)?\s*$"), rule("duration", "policy_text"))
     out = out.when(text.rlike(r"(?i)\d+\s*주차|week\s*\d+") & ~text.rlike(r"\d{1,2}:\d{2}|\d{1,2}\s*시|교시"), rule("week_only", "weekly_plan"))
     out = out.when(~text.rlike(CLASS_SHAPE) & ~field, rule("point_time", "unknown"))
-    d = cands.withColumn("__r", out)
+    d = scoped.withColumn("__r", out)
     label = F.coalesce("__r.label", "label")
     return d.select(*[c for c in cands.columns if c != "label"], label.alias("label"), (label == "class_schedule").alias("in_class"), F.col("__r.reason").alias("reject_reason"))
 
