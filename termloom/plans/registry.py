@@ -196,7 +196,7 @@ def plan_rows_by_date(spark, sf_dir):
     return calendar.rows_from_dates(e)
 
 
-@query("with e as (select l_orderkey as doc_id, l_linenumber as k, case when l_linenumber in (3, 4) then 'exam' else 'quiz' end as type from lineitem), f as (select *, coalesce((type <> lag(type) over w or k * 20 - lag(k * 20 + 10) over w > 30), true)::int as fresh from e window w as (partition by doc_id order by k)), g as (select *, sum(fresh) over (partition by doc_id order by k rows unbounded preceding) as run from f) select doc_id, type, count(*) as merged from g group by doc_id, type, run")
+@query("with e as (select l_orderkey as doc_id, l_linenumber as k, case when l_linenumber in (3, 4) then 'exam' else 'quiz' end as type from lineitem), f as (select *, coalesce((type <> lag(type) over w or k * 20 - lag(k * 20 + 10) over w > 30), true)::int as fresh from e window w as (partition by doc_id order by k)), g as (select *, sum(fresh) over (partition by doc_id order by k range unbounded preceding) as run from f) select doc_id, type, count(*) as merged from g group by doc_id, type, run")
 def adjacent_events(spark, sf_dir):
     k = F.col("l_linenumber")
     e = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), F.when(k.isin(3, 4), "exam").otherwise("quiz").alias("type"), (k * 20).alias("char_start"), (k * 20 + 10).alias("char_end"), F.col("l_returnflag").alias("title"))
