@@ -26,7 +26,7 @@ def norm(value: Column) -> Column:
 
 def segments(value: Column) -> Column:
     """The set of a value's segments between semicolons."""
-    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(norm(value), ";"), F.trim), lambda s: s != "")))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(norm(value), ";"), lambda s: F.trim(s)), lambda s: s != "")))
 
 
 def class_segments(value: Column) -> Column:

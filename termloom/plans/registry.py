@@ -2,31 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import class_time, dates, text
 from termloom.operators import calendar, candidates, compiling, dedup, evaluate, fields, resolve
+from termloom.plans import records  # noqa: F401  (adds its queries)
+from termloom.plans.base import QUERIES, SQL, query, table
 from termloom.sources import files
 
-QUERIES: dict = {}
-SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def flagship(spark, sf_dir):
     return minhash_clusters(spark, sf_dir)
 
