@@ -98,6 +98,6 @@ def round_robin(rows: DataFrame, label: str, key: str, order: list[str], n: int,
     """n rows taken from the labels by turns in the given order, two a turn from those in `twice`; by key within one."""
     w = Window.partitionBy(label).orderBy(key)
     per = F.when(F.col(label).isin(*twice), 2).otherwise(1) if twice else F.lit(1)
-    turn = F.ceil(F.row_number().over(w) / per)
     at = F.array_position(F.array(*map(F.lit, order)), F.col(label))
-    return rows.where(F.col(label).isin(*order)).withColumn("turn", turn.cast("int")).orderBy("turn", at, key).limit(n)
+    first = rows.where(F.col(label).isin(*order)).withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n)  # no label gives more
+    return first.withColumn("turn", F.ceil(F.col("__r") / per).cast("int")).drop("__r").orderBy("turn", at, key).limit(n)

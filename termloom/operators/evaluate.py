@@ -60,12 +60,16 @@ def class_weights(rows: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def method_metrics(gold: DataFrame, preds: DataFrame) -> DataFrame:
-    """Per field and method: n, n_output, n_correct, n_fabricated and their ratios. gold: sid, field, gold; preds: method, sid, field, value."""
-    methods = preds.select("method").distinct()
-    g = gold.withColumn("gold", F.nullif(F.trim("gold"), F.lit("")))
-    x = g.join(F.broadcast(methods), how="cross").join(preds.withColumn("value", F.nullif(F.trim("value"), F.lit(""))), ["method", "sid", "field"], "left")
-    out, true = F.col("value").isNotNull(), F.col("gold").isNotNull()
-    m = x.groupBy("field", "method").agg(F.count("*").alias("n"), F.count_if(out).alias("n_output"), F.count_if(out & true & (F.lower("value") == F.lower("gold"))).alias("n_correct"), F.count_if(out & ~true).alias("n_fabricated"))
+    """Per field and method: n, n_output, n_correct, n_fabricated and their ratios.
+
+    gold: sid, field, gold; preds: method, sid, field, value, one row per method, sid and field.
+    """
+    clean = lambda c: F.nullif(F.trim(c), F.lit(""))
+    methods = preds.agg(F.collect_set("method").alias("methods"))  # one row, as wide as there are methods
+    per = gold.groupBy("field").agg(F.count("*").alias("n")).crossJoin(methods).select("field", F.explode("methods").alias("method"), "n")
+    said = preds.withColumn("value", clean("value")).where("value is not null")
+    x = said.join(gold.withColumn("gold", clean("gold")), ["sid", "field"]).groupBy("field", "method").agg(F.count("*").alias("n_output"), F.count_if(F.lower("value") == F.lower("gold")).alias("n_correct"), F.count_if(F.col("gold").isNull()).alias("n_fabricated"))
+    m = per.join(x, ["field", "method"], "left").fillna(0, ["n_output", "n_correct", "n_fabricated"])
     return m.select("*", ratio(F.col("n_output"), F.col("n")).alias("coverage"), ratio(F.col("n_correct"), F.col("n_output")).alias("precision"), ratio(F.col("n_fabricated"), F.col("n_output")).alias("fabrication"))
 
 

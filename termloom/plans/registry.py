@@ -218,7 +218,7 @@ def rule_fields(spark, sf_dir):
 @query("select o_orderkey, dayname(o_orderdate) as day, lpad((8 + o_orderkey % 10)::varchar, 2, '0') || ':00' as start, lpad((9 + o_orderkey % 10)::varchar, 2, '0') || ':15' as end_time from orders")
 def class_time_slots(spark, sf_dir):
     h = (F.col("o_orderkey") % 10).cast("int")
-    t = F.concat(F.upper(F.date_format("o_orderdate", "EEE")), F.lit(" "), (8 + h).cast("string"), F.lit(":00-"), (9 + h).cast("string"), F.lit(":15 (104-E101)"))
+    t = F.concat(F.upper(F.date_format("o_orderdate", "EEE")), F.lit(" "), (8 + h).cast("string"), F.lit(":00-"), (9 + h).cast("string"), F.lit(":15 (West 12)"))
     x = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(class_time.class_slots(t)).alias("s"))
     return x.select("o_orderkey", F.col("s.day").alias("day"), F.col("s.start").alias("start"), F.col("s.end").alias("end_time"))
 

@@ -12,31 +12,30 @@ def one(spark, f, *texts):
 
 
 def test_years_terms_codes(spark):
-    assert one(spark, fields.academic_year, "2015학년도 1학기 2016.10.6. 출력", "2016.10.6. 출력", "Spring 2025", "Copyright 2024", None, "") == [2015, None, 2025, None, None, None]
-    assert one(spark, fields.term, "2026년 1학기", "2026학년도 2학기", "Spring 2026", "waterfall offspring", None) == ["봄", "가을", "봄", None, None]
-    assert one(spark, fields.course_code, "Classroom: EDU 306", "Course IEE3246-01 x", "학수번호: ABC1001", None) == [None, "IEE3246-01", "ABC1001", None]
+    assert one(spark, fields.academic_year, "2031학년도 2학기", "Fall 2029", "no year at all", None, "") == [2031, 2029, None, None, None]
+    assert one(spark, fields.term, "2031년 2학기", "Fall 2029", "a handspring and a free fallback", "", None) == ["가을", "가을", None, None, None]
+    assert one(spark, fields.course_code, "학수번호: QZX4821", "no code", "", None) == ["QZX4821", None, None, None]
 
 
 def test_labelled_fields(spark):
-    assert one(spark, fields.clean_title, "미분적분학과벡터해석(1) 학점 3", "12", None) == ["미분적분학과벡터해석(1)", None, None]
-    assert one(spark, fields.room, "월2,3,4,5,6,7(사범313)", "P1(09:00~10:40)", "108-319(E)", None) == ["사범313", None, "108-319(E)", None]
-    g = one(spark, fields.grading, "평가: 출석 40% 과제 10% 중간 20% 기말 20% 발표 10%", "강의 50% 토론 50%\n성적 출석 60%, 시험 40%", "출석 10% 시험 20%", None)
-    assert [x and [y.weight for y in x] for x in g] == [[40, 10, 20, 20, 10], [60, 40], None, None]
-    d = spark.createDataFrame([(1, "과목명: 통계학(Statistics)\n담당교수: 홍길동 교수 a@b.kr\n학점: 30\n강의시간: 678")], "doc_id int, text string")
+    assert one(spark, fields.clean_title, "해양생물의 이해 학점 2", "7", None) == ["해양생물의 이해", None, None]
+    assert one(spark, fields.room, "금6,7(공학912)", "no room", None) == ["공학912", None, None]
+    g = one(spark, fields.grading, "평가: 출석 25% 과제 35% 기말 40%", "평가: 출석 5% 기말 15%", "", None)
+    assert [x and [y.weight for y in x] for x in g] == [[25, 35, 40], None, None, None]
+    d = spark.createDataFrame([(1, "과목명: 해양학(Oceanography)\n담당교수: 김바다 교수 sea@w.example\n학점: 44\n강의시간: 9")], "doc_id int, text string")
     r = fields.rule_fields(d.withColumn("term", F.lit("x"))).first()
-    assert (r.title_ko, r.title_en, r.instructor, r.credits, r.class_time) == ("통계학", "Statistics", "홍길동", None, None)
+    assert (r.title_ko, r.title_en, r.instructor, r.credits, r.class_time) == ("해양학", "Oceanography", "김바다", None, None)
 
 
 def test_class_times():
-    kb = {"5": ("13:00", "13:50"), "6": ("14:00", "14:50")}
+    kb = {"2": ("10:10", "11:00"), "3": ("11:10", "12:00")}
     short = lambda t, p=None: (lambda s: s and [(x["day"][:3], x["start"], x["end"]) for x in s])(class_time.parse(t, p))
-    assert short("TUE THU 10:30-11:45 (104-E101)") == [("Tue", "10:30", "11:45"), ("Thu", "10:30", "11:45")]
-    assert [x[0] for x in short("Mon-Thu 9:00am-10:40am")] == ["Mon", "Tue", "Wed", "Thu"]
-    assert short("월 18:00(100) 607-208,수 18:00(100) 607-208") == [("Mon", "18:00", "19:40"), ("Wed", "18:00", "19:40")]
-    assert short("월10:30~11:45 목13:30~14:45(백224)") == [("Mon", "10:30", "11:45"), ("Thu", "13:30", "14:45")]
-    assert short("수, 금 15:00~16:15") == [("Wed", "15:00", "16:15"), ("Fri", "15:00", "16:15")]
-    assert short("화 5,6교시", kb) == [("Tue", "13:00", "14:50")]
-    assert [short("화 5,6교시"), short("화 19,20,21", kb), short("TBA"), short(""), short(None)] == [None] * 5
+    assert short("FRI SAT 8:05-9:20") == [("Fri", "08:05", "09:20"), ("Sat", "08:05", "09:20")]
+    assert [x[0] for x in short("Tue-Fri 7:30am-8:20am")] == ["Tue", "Wed", "Thu", "Fri"]
+    assert short("화 16:00(50)") == [("Tue", "16:00", "16:50")]
+    assert short("목, 토 12:10~13:00") == [("Thu", "12:10", "13:00"), ("Sat", "12:10", "13:00")]
+    assert short("금 2,3교시", kb) == [("Fri", "10:10", "12:00")]
+    assert [short("금 2,3교시"), short("금 31,32", kb), short("later"), short(""), short(None)] == [None] * 5
 
 
 def test_plan_tables(spark):
@@ -51,13 +50,13 @@ def test_plan_tables(spark):
 
 
 def test_undated_and_compile(spark):
-    e = [(1, i, "midterm", "중간고사") for i in range(6)] + [(1, 9 + i, "final", "기말 고사") for i in range(3)] + [(2, i, None, t) for i, t in enumerate(["주차(Week)", "11", "Week 월/", "발표"])]
+    e = [(1, i, "midterm", "중간고사") for i in range(4)] + [(1, 9 + i, "final", "기말고사") for i in range(2)] + [(2, 0, None, "Essay")]
     d = spark.createDataFrame(e, "doc_id int, seq int, type string, title string").withColumn("resolved_date", F.lit(None).cast("date"))
-    assert sorted((r.doc_id, r.title) for r in compiling.collapse_undated(d).collect()) == [(1, "기말 고사"), (1, "중간고사"), (2, "발표")]
-    x = [(1, date(2016, 3, 1), None), (1, date(2016, 4, 1), None), (1, date(2076, 4, 1), None), (2, date(2025, 7, 20), 2026), (3, date(2026, 1, 15), 2025), (4, None, None)]
+    assert sorted((r.doc_id, r.title) for r in compiling.collapse_undated(d).collect()) == [(1, "기말고사"), (1, "중간고사"), (2, "Essay")]
+    x = [(1, date(2031, 9, 8), None), (1, date(2031, 11, 3), None), (1, date(2052, 9, 8), None), (2, date(2033, 5, 9), 2034), (4, None, None)]
     d = spark.createDataFrame(x, "doc_id int, resolved_date date, academic_year int").withColumns({"title": F.lit("Quiz"), "needs_review": F.lit(False)})
     got = [(r.doc_id, str(r.day), r.bucket) for r in compiling.compile_events(d).collect()]
-    assert sorted(got) == [(1, "2016-03-01", "confirmed"), (1, "2016-04-01", "confirmed"), (1, "2076-04-01", "review"), (2, "2026-07-20", "confirmed"), (3, "2026-01-15", "confirmed"), (4, "None", "review")]
+    assert sorted(got) == [(1, "2031-09-08", "confirmed"), (1, "2031-11-03", "confirmed"), (1, "2052-09-08", "review"), (2, "2034-05-09", "confirmed"), (4, "None", "review")]
 
 
 def test_round_robin(spark):
