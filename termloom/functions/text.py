@@ -76,7 +76,7 @@ def pipe_tables(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     start = (F.col("line") - F.coalesce(F.lag("line").over(w), F.lit(-2)) > 1).cast("int")
     t = lines.withColumn("start", start).withColumn("table_no", F.sum("start").over(w))
     row = F.row_number().over(Window.partitionBy("doc", "table_no").orderBy("line"))
-    cells = F.transform(F.split(F.trim(F.col("s"), F.lit("| ")), r"\|", -1), F.trim)
+    cells = F.transform(F.split(F.trim(F.col("s"), F.lit("| ")), r"\|", -1), lambda c: F.trim(c))
     return t.select("doc", F.col("table_no").cast("int").alias("table_no"), row.alias("row_no"), cells.alias("cells"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions import class_time, dates, text
 from termloom.operators import calendar, candidates, compiling, dedup, evaluate, fields, resolve
-from termloom.plans import records  # noqa: F401  (adds its queries)
+from termloom.plans import records, walks  # noqa: F401  (add their queries)
 from termloom.plans.base import QUERIES, SQL, query, table
 from termloom.sources import files
 
