@@ -80,19 +80,15 @@ def _merge(tagged: DataFrame, links: DataFrame) -> DataFrame:
     return stage(tagged.join(top, "c", "left").select("h", F.coalesce("top", "c").alias("c")), "tagged")
 
 
-def linked(sigs: DataFrame, least: float = 0.9, rounds: int = 2) -> DataFrame:
-    """h, c (smallest h of the component) of signatures (h, sig) under links of an estimated similarity of `least` or more.
+def _within(tagged: DataFrame, keys: DataFrame, sigs: DataFrame, need: int, rounds: int) -> DataFrame:
+    """tagged (h, c) after linking members of a bucket, keys (h, b, key), that agree in `need` slots or more.
 
     Members of a bucket first try its smallest, then, where they are still in another component, salted ones, which
     only leaves less to the last step: it compares every pair of a bucket whose members are in different components.
     """
-    need, ranges = _keys(least)
-    of = lambda i, lo, hi: F.struct(F.lit(i).alias("b"), F.xxhash64(F.slice("sig", lo + 1, F.lit(hi - lo))).alias("key"))
-    keys = stage(sigs.select("h", F.explode(F.array(*[of(i, lo, hi) for i, (lo, hi) in enumerate(ranges)])).alias("x")).select("h", "x.b", "x.key"), "keys")
     shared = keys.groupBy("b", "key").agg(F.count("*").alias("n")).where("n > 1").select("b", "key")
     keys = stage(keys.join(shared, ["b", "key"]), "keys")
     agree = lambda x, y: F.expr(" + ".join(f"int({x}[{i}] = {y}[{i}])" for i in range(SLOTS))) >= need
-    tagged = stage(sigs.select("h", F.col("h").alias("c")), "tagged")
     for i in range(rounds + 1):
         at = keys.join(tagged, "h")
         order = F.col("h") if i == 0 else F.xxhash64(F.lit(i), "b", "key", "h")
@@ -107,20 +103,46 @@ def linked(sigs: DataFrame, least: float = 0.9, rounds: int = 2) -> DataFrame:
     return _merge(tagged, x.join(y, ["b", "key"]).where("c < d").where(agree("s1", "s2")).select("c", "d"))
 
 
-def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9) -> DataFrame:
+def linked(sigs: DataFrame, least: float = 0.9, rounds: int = 2, metas: DataFrame | None = None, meta_least: float = 0.85) -> DataFrame:
+    """h, c (smallest h of the component) of signatures (h, sig) under links of an estimated similarity of `least` or more.
+
+    metas (h, meta_key): signatures that share a metadata key link from `meta_least` on.
+    """
+    need, ranges = _keys(least)
+    of = lambda i, lo, hi: F.struct(F.lit(i).alias("b"), F.xxhash64(F.slice("sig", lo + 1, F.lit(hi - lo))).alias("key"))
+    keys = stage(sigs.select("h", F.explode(F.array(*[of(i, lo, hi) for i, (lo, hi) in enumerate(ranges)])).alias("x")).select("h", "x.b", "x.key"), "keys")
+    tagged = _within(stage(sigs.select("h", F.col("h").alias("c")), "tagged"), keys, sigs, need, rounds)
+    if metas is not None:
+        same = metas.where("meta_key is not null").distinct().select("h", F.lit(-1).alias("b"), F.col("meta_key").alias("key"))
+        tagged = _within(tagged, stage(same, "keys"), sigs, _keys(meta_least)[0], rounds)
+    return tagged
+
+
+def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9, file_key: str | None = None, meta_key: str | None = None) -> DataFrame:
     """doc_id, cluster (smallest id), size. Equal texts are one node, equal signatures link without being compared.
 
     Signatures are computed once per distinct text. Every pair of signatures that shares a band and has an estimated
-    similarity of `least` or more is a link; pairs within a component need no comparison.
+    similarity of `least` or more is a link; pairs within a component need no comparison. Columns of keys may be named:
+    documents of one file key are linked whatever their texts, those of one metadata key from a similarity of 0.85 on.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
-    ids = stage(d.select("doc_id", "h"), "ids")
+    none = F.lit(None).cast("string")
+    keyed = [(F.col(c).cast("string") if c else none).alias(n) for c, n in ((file_key, "file_key"), (meta_key, "meta_key"))]
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keyed).withColumn("h", F.xxhash64("text"))
+    ids = stage(d.select("doc_id", "h", "file_key", "meta_key"), "ids")
     once = d.groupBy("h").agg(F.min("text").alias("text"))
     texts = stage(once.select("h", signature(F.col("text")).alias("sig")).where("sig is not null"), "signatures")
     sigs = stage(texts.groupBy("sig").agg(F.min("h").alias("h")).select("h", "sig"), "signatures")
     same = texts.join(sigs.withColumnRenamed("h", "first"), "sig").select("h", "first")
-    comp = same.join(linked(sigs, least).withColumnRenamed("h", "first"), "first").select("h", F.col("c").alias("component"))
+    metas = ids.join(same, "h").select(F.col("first").alias("h"), "meta_key") if meta_key else None
+    comp = same.join(linked(sigs, least, metas=metas).withColumnRenamed("h", "first"), "first").select("h", F.col("c").alias("component"))
     got = ids.join(comp, "h", "left").withColumn("c", F.coalesce("component", "h"))
+    if file_key:
+        got = stage(got, "ids")
+        lead = got.where("file_key is not null").groupBy("file_key").agg(F.min("c").alias("d"), F.max("c").alias("top")).where("d <> top")
+        edges = stage(got.join(lead, "file_key").where("c <> d").select("c", "d").distinct(), "links")
+        if not edges.isEmpty():
+            tops = components(edges, "c", "d").select(F.col("node").alias("c"), F.col("component").alias("to"))
+            got = got.join(tops, "c", "left").withColumn("c", F.coalesce("to", "c"))
     names = got.groupBy("c").agg(F.min("doc_id").alias("cluster"), F.count("*").alias("size"))
     return got.join(names, "c").select("doc_id", "cluster", "size")
 

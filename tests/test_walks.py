@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from termloom.operators import harness, meetings, synth, walk, weekly
+from termloom.operators import dedup, harness, meetings, synth, walk, weekly
 from termloom.sources.files import DOCUMENT
 
 TABLES = "doc_id int, table_no int, header array<string>, rows array<array<string>>"
@@ -80,3 +80,17 @@ def test_synthetic_rows_are_sound_and_repeat(spark):
     drafts = spark.createDataFrame([(1, 1, "exam_time", "Quiz")], "doc_id int, n int, label string, evidence string")
     assert synth.merge_drafts(c, drafts).first().draft == "exam_time"
     assert synth.merge_drafts(c, drafts.withColumn("evidence", F.lit("Final"))).first().draft is None
+
+
+def test_clusters_by_keys(spark):
+    words = [f"word{i} of the course" for i in range(60)]
+    base, near = " ".join(words), " ".join([*words[:57], "another ending of it all"])
+    rows = [(1, base, None, "m"), (2, near, None, "m"), (3, near + " x", None, None), (4, "short", "f", None), (5, "quite another text that is long enough", "f", None), (6, None, None, "m"), (7, None, "f", None)]
+    d = spark.createDataFrame(rows, "doc_id int, text string, f string, m string")
+    got = lambda **k: {r.doc_id: r.cluster for r in dedup.clusters(d, least=0.99, **k).collect()}
+    alone, files, metas = got(), got(file_key="f"), got(meta_key="m")
+    assert alone[4] == 4 and alone[5] == 5 and alone[1] == 1 and alone[2] == 2
+    assert files[4] == files[5] == files[7] and files[1] == 1
+    sim = d.where("doc_id < 3").select(dedup.signature(F.col("text")).alias("s")).collect()
+    close = sum(a == b for a, b in zip(sim[0].s, sim[1].s)) / dedup.SLOTS >= 0.85
+    assert (metas[2] == 1) == close and metas[4] == 4
