@@ -3,7 +3,9 @@
 Every tree splits the vectors recursively at the median of their projection on a random direction; vectors near a split
 go to both sides. Vectors that share a leaf of any tree are compared exactly, in double precision. A pair is counted in
 the first leaf that it shares, in the order of leaves, so that counts of links need no table of pairs; of the links of a
-leaf only a spanning forest leaves the task. Equal vectors are one class with a count, so copies cost nothing.
+leaf only a spanning forest leaves the task. Equal vectors are one class with a count, so copies cost nothing. Rows on
+their way to the leaves leave a task in chunks of some MB, and a leaf that the sample expects to hold more than WHOLE
+rows is compared in blocks of about BLOCK, each pair of blocks a group of its own; so no task grows with the input.
 
 Splits would cut a group of distinct vectors that is larger than a leaf at every level. So vectors of the sample that
 link with many others represent such groups: what links with a representative is a member of its core and leaves the
@@ -21,15 +23,20 @@ counts as a link but names no component; an empty table gives an empty result; e
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termloom.operators.components import components
 from termloom.operators.lineage import stage
 
+#: A leaf of more than WHOLE rows, by the sample, is compared in blocks of about BLOCK.
+WHOLE, BLOCK = 16_384, 8_192
+
 
 def usable(vec: Column) -> Column:
     """Not null, not empty, every component finite, not all zero."""
@@ -46,7 +53,16 @@ class Tree:
         self.spill = np.zeros(2**depth)
 
     def direction(self, node: int) -> np.ndarray:
-        return np.random.default_rng([self.seed, node]).standard_normal(self.dim)
+        """Kept by the task, if those of the tree are 4 MB at most."""
+        if 2**self.depth * self.dim > 1 << 19:
+            return np.random.default_rng([self.seed, node]).standard_normal(self.dim)
+        held = self.__dict__.setdefault("held", {})
+        if node not in held:
+            held[node] = np.random.default_rng([self.seed, node]).standard_normal(self.dim)
+        return held[node]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "held"}
 
     def fit(self, x: np.ndarray, spill: float) -> Tree:
         inside = {1: np.arange(len(x))}
@@ -79,71 +95,111 @@ class Tree:
 
 
 def unit(vectors) -> np.ndarray:
-    x = np.array([np.asarray(v, dtype=np.float64) for v in vectors], dtype=np.float64)
+    x = np.array([np.asarray(v, dtype=np.float64) for v in vectors], dtype=np.float64) if not isinstance(vectors, np.ndarray) else vectors.astype(np.float64)
     top = np.abs(x).max(axis=1, keepdims=True)
     x = x / top  # the squares of huge or tiny components would leave the range of doubles
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _leaf_tables(lists: list, leaf: int, per_tree: dict[int, int]) -> list[np.ndarray]:
-    """For each tree up to this leaf's, the rows' leaves before this leaf, padded with -1."""
-    rows = np.repeat(np.arange(len(lists)), [len(v) for v in lists])
-    flat = np.concatenate([np.asarray(v, dtype=np.int64) for v in lists])
-    rows, flat = rows[flat < leaf], flat[flat < leaf]
-    tree = np.searchsorted(np.array(sorted(per_tree)), flat, side="right") - 1
+def unpacked(blobs, real: str) -> np.ndarray:
+    """Vectors of one length, a row each, from the bytes of their components."""
+    return np.frombuffer(b"".join(blobs), dtype=real).reshape(len(blobs), -1)
+
+
+def to_leaves(part: pd.DataFrame, trees: list[tuple[Tree, int]], blocks: np.ndarray, real: str, chunk: int = 8 << 20) -> Iterator[pd.DataFrame]:
+    """The rows of part (k, n, vec; one length) in each of their leaves, for each pair of blocks that their block is in,
+    with their leaves before that one; in chunks of about `chunk` bytes."""
+    x = unit(part["vec"])
+    at = [(r, g + base) for tree, base in trees for r, g in [tree.leaves(x)]]
+    rows, leaf = np.concatenate([a[0] for a in at]), np.concatenate([a[1] for a in at])
+    del at
+    order = np.lexsort((leaf, rows))
+    rows, leaf = rows[order], leaf[order]
+    ends = np.searchsorted(rows, np.arange(len(x) + 1))
+    lists = [leaf[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in range(len(x))]
+    nth = np.arange(len(rows)) - ends[rows]
+    key, n, vec = part["k"].tolist(), part["n"].to_numpy(), [np.asarray(v, dtype=real).tobytes() for v in part["vec"]]
+    home = np.array([int(k[:15], 16) for k in key], dtype=np.int64)
+    each = max(64, int(chunk // (len(vec[0]) + 2 * len(leaf) / len(x) + 64)))
+    upto = np.concatenate([[0], np.cumsum(blocks[leaf])])  # a row in one of m blocks goes to m pairs of them
+    for lo in range(0, int(upto[-1]), each):
+        some = np.arange(lo, min(lo + each, int(upto[-1])))
+        i = np.searchsorted(upto, some, side="right") - 1
+        own, other = home[rows[i]] % blocks[leaf[i]], some - upto[i]
+        r, j = rows[i].tolist(), nth[i].tolist()
+        yield pd.DataFrame(
+            {"leaf": leaf[i], "a": np.minimum(own, other), "b": np.maximum(own, other), "unit": own, "k": pd.Series([key[q] for q in r], dtype=object), "n": n[rows[i]]}
+            | {"vec": pd.Series([vec[q] for q in r], dtype=object), "leaves": pd.Series([lists[q][: 4 * m] for q, m in zip(r, j)], dtype=object)}
+        )
+
+
+def _leaf_bits(lists: list[bytes], bases: list[int]) -> list[np.ndarray]:
+    """For each tree in which any row has a leaf: the rows' leaves as bits, a row each."""
+    flat, rows = np.frombuffer(b"".join(lists), dtype="<i4"), np.repeat(np.arange(len(lists)), [len(v) // 4 for v in lists])
+    tree = np.searchsorted(np.array(sorted(bases)), flat, side="right") - 1
     tables = []
     for t in np.unique(tree):
-        r, f = rows[tree == t], flat[tree == t]
-        nth = np.arange(len(r)) - np.searchsorted(r, r)
-        table = np.full((len(lists), int(nth.max()) + 1), -1, dtype=np.int64)
-        table[r, nth] = f
-        tables.append(table)
+        r, (names, f) = rows[tree == t], np.unique(flat[tree == t], return_inverse=True)
+        width = -(-len(names) // 64)
+        bits = np.empty((len(lists), width), dtype=np.uint64)
+        for lo in range(0, len(lists), 2048):
+            a, b = np.searchsorted(r, [lo, lo + 2048])
+            some = np.zeros((min(2048, len(lists) - lo), width * 64), dtype=bool)
+            some[r[a:b] - lo, f[a:b]] = True
+            bits[lo : lo + 2048] = np.packbits(some, axis=1).view(np.uint64)
+        tables.append(bits)
     return tables
 
 
 def _fresh(a: np.ndarray, b: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
     """Which pairs share no earlier leaf; most that do share one of the first tree and are done with then."""
     live = np.arange(len(a))
-    for table in tables:
-        met = np.zeros(len(live), dtype=bool)
-        for i in range(table.shape[1]):
-            x = table[a[live], i]
-            for j in range(table.shape[1]):
-                met |= (x >= 0) & (x == table[b[live], j])
-        live = live[~met]
+    for bits in tables:
+        each = max(1024, (1 << 20) // bits.shape[1])
+        parts = [live[at : at + each] for at in range(0, len(live), each)]
+        live = np.concatenate([p[~(bits[a[p]] & bits[b[p]]).any(axis=1)] for p in parts] or [live])
     return live
 
 
-def links_in_leaf(pdf: pd.DataFrame, least: float, starts: dict[int, int], block: int = 1024) -> pd.DataFrame:
-    """Counts of links first found in this leaf, and edges that span them. pdf: leaf, k, n, vec, leaves."""
-    pdf = pdf.sort_values("k", ignore_index=True)
-    x, key, n, leaf = unit(pdf["vec"]), np.array(pdf["k"].tolist(), dtype=object), pdf["n"].to_numpy(), int(pdf["leaf"].iloc[0])
-    tables = _leaf_tables(pdf["leaves"].tolist(), leaf, starts)
+def links_in_leaf(pdf: pd.DataFrame, least: float, bases: list[int], real: str, block: int = 512, wide: int = 4096) -> pd.DataFrame:
+    """Counts of links first found in this leaf, and edges that span them.
+
+    pdf: leaf, a, b (the blocks), unit (the row's own), k, n, vec and leaves (those before this one) as bytes.
+    """
+    pdf = pdf.sort_values(["unit", "k"], ignore_index=True)
+    x, key, n = unit(unpacked(pdf["vec"].tolist(), real)), pdf["k"].tolist(), pdf["n"].to_numpy()
+    same, half = bool(pdf["a"].iloc[0] == pdf["b"].iloc[0]), int((pdf["unit"] == pdf["a"]).sum())
+    tables = None
     count, root, edges = np.zeros(len(x), dtype=np.int64), np.arange(len(x)), []
-    for lo in range(0, len(x), block):
-        sim = x[lo : lo + block] @ x[lo:].T
-        a, b = np.nonzero(sim >= least)
-        a, b = a[a < b] + lo, b[a < b] + lo
-        for part in range(0, len(a), 1 << 18):
-            pa, pb = a[part : part + (1 << 18)], b[part : part + (1 << 18)]
-            live = _fresh(pa, pb, tables)
-            count += np.bincount(pa[live], n[pb[live]], len(x)).astype(np.int64) + np.bincount(pb[live], n[pa[live]], len(x)).astype(np.int64)
-        while len(a):  # each round joins one pair of every two sets that touch
-            apart = root[a] != root[b]
-            a, b = a[apart], b[apart]
-            ra, rb = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
-            _, one = np.unique(rb, return_index=True)
-            for i in one.tolist():
-                edges.append((key[a[i]], key[b[i]]))
-                root[rb[i]] = ra[i]
-            while (root != root[root]).any():
-                root = root[root]
-    hit = count > 0
+    for lo in range(0, half, block):
+        hi = min(lo + block, half)
+        for at in range(lo if same else half, len(x), wide):
+            a, b = np.nonzero(x[lo:hi] @ x[at : at + wide].T >= least)
+            a, b = a + lo, b + at
+            if same:
+                a, b = a[a < b], b[a < b]
+            if not len(a):
+                continue
+            tables = _leaf_bits(pdf["leaves"].tolist(), bases) if tables is None else tables
+            live = _fresh(a, b, tables)
+            a, b = a[live], b[live]
+            count += np.bincount(a, n[b], len(x)).astype(np.int64) + np.bincount(b, n[a], len(x)).astype(np.int64)
+            while len(a):  # each round joins one pair of every two sets that touch
+                apart = root[a] != root[b]
+                a, b = a[apart], b[apart]
+                ra, rb = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+                _, one = np.unique(rb, return_index=True)
+                for i in one.tolist():
+                    edges.append((key[a[i]], key[b[i]]))
+                    root[rb[i]] = ra[i]
+                while (root != root[root]).any():
+                    root = root[root]
+    hit = np.flatnonzero(count)
     return pd.DataFrame(
         {
-            "k": pd.Series([*key[hit], *(e[0] for e in edges)], dtype=object),
+            "k": pd.Series([*(key[i] for i in hit), *(e[0] for e in edges)], dtype=object),
             "n": pd.Series([*count[hit], *([0] * len(edges))], dtype="int64"),
-            "other": pd.Series([None] * int(hit.sum()) + [e[1] for e in edges], dtype=object),
+            "other": pd.Series([None] * len(hit) + [e[1] for e in edges], dtype=object),
         }
     )
 
@@ -199,17 +255,26 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf:
     """vec_id, n_links, component_id, kept."""
     v = F.col(vec_col)
     ok = usable(v)
+    real, vec_type = ("<f4", "array<float>") if vectors.schema[vec_col].dataType.elementType == T.FloatType() else ("<f8", "array<double>")
     hexa = lambda c: F.lpad(F.hex(c), 16, "0")
     key = F.when(ok, F.concat(hexa(F.xxhash64(v)), hexa(F.xxhash64(F.lit(seed), F.reverse(v)))))
-    rows = stage(vectors.select(F.col(id_col).alias("vec_id"), key.alias("k"), F.when(ok, F.transform(v, lambda x: x.cast("double"))).alias("vec")), "vectors")
+    rows = stage(vectors.select(F.col(id_col).alias("vec_id"), key.alias("k"), F.when(ok, v.cast(vec_type)).alias("vec")), "vectors")
     classes = stage(rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.first("vec").alias("vec")), "classes")
     sizes = classes.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n")).collect()  # one row per length
-    models, first, cores, reps = {}, 0, {}, []
+    models, blocks, first, cores, reps = {}, [np.zeros(0, dtype=np.int64)], 0, {}, []
+
+    def packed(batches):
+        for b in batches:
+            yield pd.DataFrame({"k": b["k"], "vec": [np.asarray(v, dtype=real).tobytes() for v in b["vec"]]})
+
     deep = lambda n: min(max(0, math.ceil(math.log2(max(1, n) / leaf))), int(math.log2(sample / 16)))
     for s in sorted(sizes):
         depth = deep(s.n)
-        got = classes.where(F.size("vec") == s.dim).orderBy("k").limit(sample if depth else 1).select("k", "vec").collect()
-        x = unit([r.vec for r in got])
+        some = classes.where(F.size("vec") == s.dim)
+        if s.n > 2 * sample:  # keys are hashes: this leaves the smallest ones and few more
+            some = some.where(F.col("k") < f"{int(2**64 * (sample + 8 * sample**0.5) / s.n):016x}")
+        got = some.orderBy("k").limit(sample if depth else 1).select("k", "vec").mapInPandas(packed, "k string, vec binary").collect()
+        x = unit(unpacked([r.vec for r in got], real))
         if depth:
             some = x[:scout]
             chosen, left = representatives(some, least, max(8, leaf / 2 * len(some) / s.n))
@@ -219,22 +284,17 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf:
                 x = x[~np.concatenate([(x[lo : lo + 4096] @ some[chosen].T >= least).any(axis=1) for lo in range(0, len(x), 4096)])]
                 depth = min(deep(s.n * left.mean()), int(math.log2(max(1.0, len(x) / 16))))
         models[s.dim] = [(Tree(seed * 1000 + t, depth, s.dim).fit(x, spill), first + t * 2**depth) for t in range(trees if depth else 1)]
+        for tree, _ in models[s.dim]:
+            expected = np.bincount(tree.leaves(x)[1], minlength=2**depth) * (s.n / len(got))
+            blocks.append(np.where(expected > WHOLE, np.ceil(expected / BLOCK), 1).astype(np.int64))
         first += len(models[s.dim]) * 2**depth
 
-    starts = {base: dim for dim, m in models.items() for _, base in m}
+    blocks, bases = np.concatenate(blocks), [base for m in models.values() for _, base in m]
 
     def index(batches):
         for b in batches:
             for dim, part in b.groupby(b["vec"].map(len)):
-                x = unit(part["vec"])
-                at = [(r, g + base) for tree, base in models[dim] for r, g in [tree.leaves(x)]]
-                rows_, leaf_ = np.concatenate([a[0] for a in at]), np.concatenate([a[1] for a in at])
-                order = np.lexsort((leaf_, rows_))
-                rows_, leaf_ = rows_[order], leaf_[order]
-                ends = np.searchsorted(rows_, np.arange(len(x) + 1))
-                lists = [leaf_[ends[i] : ends[i + 1]] for i in range(len(x))]
-                out = part.iloc[rows_]
-                yield pd.DataFrame({"leaf": leaf_, "k": pd.Series(out["k"].tolist(), dtype=object), "n": out["n"].to_numpy(), "vec": out["vec"].to_numpy(), "leaves": [lists[r] for r in rows_]})
+                yield from to_leaves(part, models[dim], blocks, real)
 
     # A vector is a member of the first core whose representative it links with; its pairs are found there, or in an
     # earlier core, whose members may link with it if it is within the bound.
@@ -252,7 +312,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf:
 
     rest, found_in = classes, None
     if cores:
-        held = stage(classes.select("k", "n", "vec").mapInPandas(gather, "k string, n long, vec array<double>, home long, near array<long>"), "cores")
+        held = stage(classes.select("k", "n", "vec").mapInPandas(gather, f"k string, n long, vec {vec_type}, home long, near array<long>"), "cores")
         rest = held.where("home < 0")
         member = held.where("home >= 0").select("k", "n", "vec", F.col("home").alias("core"), F.lit(True).alias("member"))
         other = held.select("k", "n", "vec", F.explode("near").alias("core"), F.lit(False).alias("member"))
@@ -268,8 +328,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, trees: int = 8, leaf:
         parts = parts.select("core", F.least("unit", "with").alias("a"), F.greatest("unit", "with").alias("b"), "unit", "member", "k", "n", "vec", "rep")
         found_in = parts.groupBy("core", "a", "b").applyInPandas(lambda p: links_in_core(p, least), "k string, n long, other string")
 
-    indexed = rest.select("k", "n", "vec").mapInPandas(index, "leaf long, k string, n long, vec array<double>, leaves array<long>")
-    found = indexed.groupBy("leaf").applyInPandas(lambda p: links_in_leaf(p, least, starts), "k string, n long, other string")
+    indexed = rest.select("k", "n", "vec").mapInPandas(index, "leaf long, a long, b long, unit long, k string, n long, vec binary, leaves binary")
+    found = indexed.groupBy("leaf", "a", "b").applyInPandas(lambda p: links_in_leaf(p, least, bases, real), "k string, n long, other string")
     found = stage(found.unionByName(found_in) if found_in is not None else found, "links")
     count = found.where("n > 0").groupBy("k").agg(F.sum("n").alias("links"))
     comp = components(found.where("other is not null").select(F.col("k").alias("u"), F.col("other").alias("v")))

@@ -180,6 +180,41 @@ def test_forest_with_a_large_dense_group(spark):
     assert all(got[i].component_id == 0 for i in linked)
 
 
+def test_forest_sends_rows_in_small_chunks(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.random.default_rng(8).standard_normal((6000, 16)))], "vec_id long, embedding array<double>")
+    seen, own = [], type(d).mapInPandas
+
+    def held(self, func, schema, *more, **options):
+        if not schema.startswith("leaf"):
+            return own(self, func, schema, *more, **options)
+        seen.append((func, self.toPandas()))
+        raise Seen
+
+    monkeypatch.setattr(type(d), "mapInPandas", held)
+    with pytest.raises(Seen):
+        forest.near_vectors(d, leaf=16)
+    func, rows = seen[0]
+    sent = [len(x) for x in func([rows])]
+    assert sum(sent) >= 20 * len(rows) and max(sent) <= 8 * len(rows)  # each row goes to dozens of leaves
+
+
+def test_forest_compares_large_leaves_in_blocks(spark, monkeypatch):
+    g = np.random.default_rng(9)
+    x = g.standard_normal((900, 16))
+    x[300:600] = x[:300] + 0.05 * g.standard_normal((300, 16))
+    x[600:680] = x[600] + 0.1 * g.standard_normal((80, 16))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(5000, x[0].tolist())], "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, forest.near_vectors(d, leaf=256).collect()))
+    monkeypatch.setattr(forest, "WHOLE", 100)
+    monkeypatch.setattr(forest, "BLOCK", 60)
+    assert sorted(map(tuple, forest.near_vectors(d, leaf=256).collect())) == whole
+    n, _ = brute_links(np.vstack([x, x[:1]]), 0.95)
+    assert sum(r[1] for r in whole) >= 0.98 * n.sum()
+
+
 def brute_repeats(texts, length):
     raw = [(t or "").encode() for t in texts]
     c = Counter(r[i : i + length] for r in raw for i in range(len(r) - length + 1))
