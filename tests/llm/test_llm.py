@@ -140,6 +140,42 @@ def test_quality(spark, docs):
     assert quality.accepted(d, model).columns == d.columns
 
 
+def test_quality_learns_from_all_labels(spark):
+    r = random.Random(2)
+    first = [x.id for x in spark.range(9000).orderBy(F.xxhash64("id"), "id").collect()]
+    late = set(first[8400:])  # good words but for their marks, and last in the order of hashes
+    prose = lambda: " ".join(r.choice(WORDS) for _ in range(12))
+    text = lambda i: prose().replace(" ", " ! ") if i in late else r.choice(WORDS) + " zz" * 11
+    d = spark.createDataFrame([(i, text(i)) for i in range(9000)] + [(i, prose()) for i in range(9000, 9400)], "doc_id long, text string")
+    lab = spark.range(9400).select(F.col("id").alias("doc_id"), (F.col("id") >= 9000).cast("int").alias("quality"))
+    got = {x.doc_id: x.score for x in quality.score(d, quality.train(d, lab)).collect()}
+    assert sum(got[i] < 0.5 for i in late) >= 0.99 * len(late) and sum(got[i] >= 0.5 for i in range(9000, 9400)) >= 396
+
+
+def test_order_statistics_are_exact(spark):
+    g = np.random.default_rng(4)
+    x = g.standard_normal((500, len(quality.FEATURES))).astype(np.float32)
+    x[:, 1], x[:200, 2], x[0, 3] = 7, 0, -1e30
+    y, n = g.integers(0, 2, 500), g.integers(1, 4, 500)
+    rows = spark.createDataFrame([(int(a), v.tobytes(), int(m)) for a, v, m in zip(y, x, n)], "y int, f binary, n long")
+    each = np.repeat(x, n, axis=0)
+    asks = [(c, 1, 1, t) for c in range(4) for t in (0, 100, 500, len(each) - 1, len(each))] + [(0, 0, 1, 50)]
+    want = [np.sort(each[:, c])[min(t, len(each) - 1)] for c, _, _, t in asks[:-1]] + [np.sort(np.repeat(x, n * y, axis=0)[:, 0])[50]]
+    assert quality.order_statistics(rows, lambda v: v, asks) == want
+
+
+def test_pairs_sums_are_those_of_all_pairs():
+    g = np.random.default_rng(4)
+    m = quality.Ranker(np.sort(g.standard_normal((4, len(quality.FEATURES))), axis=0), 0.1 * g.standard_normal(3 * len(quality.FEATURES)), 0, 1)
+    a, b = (g.standard_normal((k, len(quality.FEATURES))) for k in (5, 4))
+    na, nb = np.array([1.0, 2, 1, 1, 3]), np.array([1.0, 1, 2, 1])
+    d = [(x - y, i * j) for x, i in zip(m.expand(a), na) for y, j in zip(m.expand(b), nb)]
+    p = [1 / (1 + np.exp(-x @ m.weights)) for x, _ in d]
+    grad, h, loss, pairs = m.sums(a, b, na, nb)
+    assert np.allclose(grad, -sum(k * (1 - q) * x for (x, k), q in zip(d, p))) and np.allclose(h, sum(k * q * (1 - q) * np.outer(x, x) for (x, k), q in zip(d, p)))
+    assert np.isclose(loss, -sum(k * np.log(q) for (_, k), q in zip(d, p))) and pairs == na.sum() * nb.sum()
+
+
 def brute_links(x, least):
     u = x / np.linalg.norm(x, axis=1)[:, None]
     s = u @ u.T >= least
