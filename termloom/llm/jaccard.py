@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.llm.memory import give_back, tidy
 from termloom.llm.names import free_names
 from termloom.llm.shingles import shingle_sets
 from termloom.operators.components import components
@@ -114,6 +115,7 @@ def count_bucket(key: tuple, pdf: pd.DataFrame, homes: int) -> pd.DataFrame:
     k = np.concatenate([_runs(p[0], p[1]) for p in parts])
     h = np.concatenate([_widen(p[2]) for p in parts])
     del parts
+    give_back()
     order = np.lexsort((k, h))
     k, h = k[order], h[order]
     keep = np.ones(len(h), dtype=bool)  # a text may come from several tasks
@@ -123,6 +125,8 @@ def count_bucket(key: tuple, pdf: pd.DataFrame, homes: int) -> pd.DataFrame:
     many = np.diff(np.append(first, len(h)))
     df = np.repeat(many, many)
     k, h, df = k[df > 1], h[df > 1], df[df > 1]
+    del order, keep, first, many
+    give_back()
     home = k % homes
     order = np.lexsort((k, home))
     k, h, df, home = k[order], h[order], df[order], home[order]
@@ -147,6 +151,8 @@ def gather_home(pdf: pd.DataFrame, pct: int) -> pd.DataFrame:
         h, df = np.concatenate([_widen(p[2]) for p in parts]), np.concatenate([p[3] for p in parts])
         order = np.lexsort((h, df, k))
         k, h = k[order], h[order]
+        del parts, df, order
+        give_back()
         lo, hi = np.searchsorted(k, key), np.searchsorted(k, key, side="right")
         unique = size - (hi - lo)
         length = size - (pct * size + 99) // 100 + 1
@@ -168,7 +174,7 @@ def verify(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
             yield p.loc[np.array(ok, dtype=bool), ["a", "b"]]
 
     side = lambda x: sets.select(F.col("k").alias(x), F.col("shared").alias(f"s{x}"), F.col("size").alias(f"n{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "na", "nb").mapInPandas(go, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "na", "nb").mapInPandas(tidy(go), "a long, b long")
 
 
 def join_components(tagged: DataFrame, found: DataFrame) -> DataFrame:
@@ -188,7 +194,7 @@ def text_components(texts: DataFrame, words: int, pct: int, bucket: int = 1_500_
     spark = texts.sparkSession
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = homes = int(max(12, total // (6 * bucket)))
-    cut = texts.mapInPandas(lambda b: cut_texts(b, words, buckets, homes), "bucket long, blob binary")
+    cut = texts.mapInPandas(tidy(lambda b: cut_texts(b, words, buckets, homes)), "bucket long, blob binary")
     # Tasks grow in number with the buckets, not in size.
     back = cut.repartition(2 * buckets, "bucket").groupBy("bucket").applyInPandas(lambda key, p: count_bucket(key, p, homes), "home long, what long, blob binary")
     sets = back.repartition(homes, "home").groupBy("home").applyInPandas(lambda p: gather_home(p, pct), "k long, size long, unique long, prefix array<long>, shared binary")

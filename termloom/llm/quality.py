@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.llm.memory import tidy
 from termloom.operators.lineage import stage
 
 #: Character classes whose shares are features.
@@ -123,7 +124,7 @@ def order_statistics(rows: DataFrame, values: Callable[[np.ndarray], np.ndarray]
                     out.append(pd.DataFrame({"c": c, "key": key, "n": np.bincount(at, n[mine], len(key)).astype(np.int64)}))
                 yield pd.concat(out)
 
-        got = rows.mapInPandas(go, "c int, key long, n long").groupBy("c", "key").agg(F.sum("n").alias("n")).collect()
+        got = rows.mapInPandas(tidy(go), "c int, key long, n long").groupBy("c", "key").agg(F.sum("n").alias("n")).collect()
         got = np.array([tuple(r) for r in got], dtype=np.int64).reshape(-1, 3)
         got = got[np.lexsort((got[:, 1], got[:, 0]))]
         for i, (c, w0, w1, t) in enumerate(asks):
@@ -175,7 +176,7 @@ def fit(rows: DataFrame, bins: int = 12, cell: int = 1024, l2: float = 3e-4, rou
             if total is not None:
                 yield pd.DataFrame([[total[0].tobytes(), total[1].tobytes(), total[2], total[3]]], columns=["grad", "h", "loss", "pairs"])
 
-        got = packed.mapInPandas(go, "grad binary, h binary, loss double, pairs double").collect()  # one row per task
+        got = packed.mapInPandas(tidy(go), "grad binary, h binary, loss double, pairs double").collect()  # one row per task
         pairs = sum(r.pairs for r in got)
         grad, h = sum(np.frombuffer(r.grad) for r in got) / pairs, sum(np.frombuffer(r.h) for r in got).reshape(len(w), -1) / pairs
         return grad + l2 * w, h + l2 * np.eye(len(w)), sum(r.loss for r in got) / pairs + l2 / 2 * float(w @ w), pairs
@@ -210,7 +211,7 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
             x = feature_frame(b.column(b.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([r.tobytes() for r in x], pa.binary())], [*keep, "f"])
 
-    return docs.select(*keep, text_col).mapInArrow(go, schema)
+    return docs.select(*keep, text_col).mapInArrow(tidy(go), schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", cell: int = 1024) -> Ranker:
@@ -235,7 +236,7 @@ def score(docs: DataFrame, model: Ranker, text_col: str = "text") -> DataFrame:
         for b in batches:
             yield b[keep].assign(score=model.score(feature_frame(b[text_col])))
 
-    return docs.select(*keep, text_col).mapInPandas(go, f"{schema}{', ' if keep else ''}score double")
+    return docs.select(*keep, text_col).mapInPandas(tidy(go), f"{schema}{', ' if keep else ''}score double")
 
 
 def score_features(feats: DataFrame, model: Ranker) -> DataFrame:
@@ -248,7 +249,7 @@ def score_features(feats: DataFrame, model: Ranker) -> DataFrame:
             x = unpacked(b.column(b.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(model.score(x))], [*keep, "score"])
 
-    return feats.select(*keep, "f").mapInArrow(go, schema)
+    return feats.select(*keep, "f").mapInArrow(tidy(go), schema)
 
 
 def accepted(docs: DataFrame, model: Ranker, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -258,7 +259,7 @@ def accepted(docs: DataFrame, model: Ranker, text_col: str = "text", least: floa
         for b in batches:
             yield b[model.score(feature_frame(b[text_col])) >= least]
 
-    return docs.mapInPandas(go, docs.schema)
+    return docs.mapInPandas(tidy(go), docs.schema)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from termloom.llm import forest, jaccard, mixing, pieces, quality, repeats, secrets, sharding, topk, warc
+from termloom.llm import forest, jaccard, memory, mixing, pieces, quality, repeats, secrets, sharding, topk, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, k string"
 WORDS = [f"w{i}" for i in range(40)] + ["é", "日本"]
@@ -152,6 +152,19 @@ def test_quality_learns_from_all_labels(spark):
     assert sum(got[i] < 0.5 for i in late) >= 0.99 * len(late) and sum(got[i] >= 0.5 for i in range(9000, 9400)) >= 396
 
 
+def test_freed_memory_goes_back_at_the_end_of_a_task():
+    held = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096 / 1e6
+
+    def go(batches):
+        some = [bytearray(60_000) for _ in range(5000)]
+        pins.append(bytearray(60_000))
+        yield sum(map(len, some))
+
+    pins, before = [], held()
+    assert list(memory.tidy(go)([])) == [300_000_000]
+    assert held() - before < 100
+
+
 def test_order_statistics_are_exact(spark):
     g = np.random.default_rng(4)
     x = g.standard_normal((500, len(quality.FEATURES))).astype(np.float32)
