@@ -17,8 +17,13 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"(?:\+82[-\s]?\d{1,2}|0\d{1,2})[-.\s)]?\d{3,4}[-.\s]?\d{4}"
 
 
+def once(value: Column, f) -> Column:
+    """f(value), with the value computed once however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
-    return F.when(F.trim(c) != "", F.trim(c))
+    return F.get(F.filter(F.array(F.trim(c)), lambda x: x != ""), F.lit(0))
 
 
 def repair_doubled_runs(text: Column) -> Column:

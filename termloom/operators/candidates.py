@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.functions.text import context_blob
+from termloom.operators.lineage import computed
 
 # The shapes of date and time expressions.
 PATTERNS = [
@@ -47,6 +48,7 @@ CLASS_FIELD = r"(?i)강의\s*시간|수업\s*시간|강의\s*요일|수업\s*요
 LABELS = ["class_schedule", "instructor_office_hours", "ta_office_hours", "assignment_deadline", "exam_time", "weekly_plan", "policy_text", "unknown"]
 
 _COMPILED = [re.compile(p) for p in PATTERNS]
+_ASCII = [p for p, s in zip(_COMPILED, PATTERNS) if "week" in s or not re.search("[가-힣]", s)]  # the others need a Hangul letter
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("text", T.StringType())]))
@@ -57,7 +59,8 @@ def spans(texts: pd.Series) -> pd.Series:
     """All matches of all patterns but those contained in another; Spark's functions give no offsets."""
 
     def one(t: str) -> list[dict]:
-        found = sorted({m.span() for p in _COMPILED for m in p.finditer(t or "") if m.end() > m.start()}, key=lambda s: (s[0], -s[1]))
+        t = t or ""
+        found = sorted({m.span() for p in (_ASCII if t.isascii() else _COMPILED) for m in p.finditer(t) if m.end() > m.start()}, key=lambda s: (s[0], -s[1]))
         kept, reach = [], -1
         for a, b in found:  # by start, longest first: contained exactly if an earlier one reaches as far
             if b > reach:
@@ -65,7 +68,8 @@ def spans(texts: pd.Series) -> pd.Series:
                 reach = b
         return kept
 
-    return texts.map(one)
+    seen: dict = {}  # cells repeat
+    return texts.map(lambda t: seen[t] if t in seen else seen.setdefault(t, one(t)))
 
 
 def date_kind(text: Column) -> Column:
@@ -89,11 +93,12 @@ def last_table_hit_first(cands: DataFrame) -> DataFrame:
 
 
 def has_any(low: Column, cues: list[str]) -> Column:
-    """Whether a text in lower case holds one of the cues."""
-    out = F.lit(False)
+    """Whether a text in lower case holds one of the cues; those beyond ASCII are sought in texts beyond ASCII only."""
+    plain, more = F.lit(False), F.lit(False)
     for c in cues:
-        out = out | F.contains(low, F.lit(c))
-    return out
+        hit = F.contains(low, F.lit(c))
+        plain, more = (plain | hit, more) if c.isascii() else (plain, more | hit)
+    return plain | ((F.length(low) < F.octet_length(low)) & more)
 
 
 def _blob() -> Column:
@@ -119,7 +124,7 @@ def classify(cands: DataFrame) -> DataFrame:
     out = out.when(has_any(whole, WEEK_PLAN) & ~shape, pick("weekly_plan", 0.75)).when(has_any(whole, POLICY), pick("policy_text", 0.6))
     cue = has_any(whole, CLASS)
     out = out.when(cue & shape, pick("class_schedule", 0.9)).when(cue & _in_field() & text.rlike(r"\d{1,2}:\d{2}|\d{1,2}\s*시"), pick("class_schedule", 0.85)).otherwise(pick("unknown", 0.4))
-    return scoped.withColumn("__c", out).select(*cands.columns, "__c.label", "__c.confidence")
+    return computed(scoped, "__c", out).select(*cands.columns, "__c.label", "__c.confidence")
 
 
 def validate(cands: DataFrame, block_events: bool = False) -> DataFrame:
@@ -134,7 +139,7 @@ def validate(cands: DataFrame, block_events: bool = False) -> DataFrame:
     out = out.when(text.rlike(r"^\s*\d+\s*분(?:간)?\s*$"), rule("duration", "policy_text"))
     out = out.when(text.rlike(r"(?i)\d+\s*주차|week\s*\d+") & ~text.rlike(r"\d{1,2}:\d{2}|\d{1,2}\s*시|교시"), rule("week_only", "weekly_plan"))
     out = out.when(~text.rlike(CLASS_SHAPE) & ~field, rule("point_time", "unknown"))
-    d = scoped.withColumn("__r", out)
+    d = computed(scoped, "__r", out)
     label = F.coalesce("__r.label", "label")
     return d.select(*[c for c in cands.columns if c != "label"], label.alias("label"), (label == "class_schedule").alias("in_class"), F.col("__r.reason").alias("reject_reason"))
 

@@ -1,4 +1,5 @@
-"""Joins of a large table with one that has a row per key, where a key may hold a large share of the large table."""
+"""Rows dealt to partitions by the size of their table, and joins with a table that has a row per key, where a key may
+hold a large share of the large table."""
 
 from __future__ import annotations
 
@@ -9,6 +10,19 @@ from pyspark.sql import functions as F
 MANY = 10_000
 #: Keys with fewer rows than this are never hot.
 LEAST = 2_000
+#: Estimated bytes of a dealt partition at most; at least, where there are fewer partitions than three a core.
+PART, SMALL = 2 << 20, 128 << 10
+
+
+def dealt(rows: DataFrame, *keys: str, like: DataFrame | None = None) -> DataFrame:
+    """rows dealt by keys to as many partitions as the estimated size of `like` asks for, by default their own.
+
+    A Parquet file has a task a row group, whatever the work a row takes, and a fixed number of shuffle partitions grow
+    with the input. What is grouped or ordered within the keys later on needs no other shuffle.
+    """
+    size = int(str((like or rows)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = max(-(-size // PART), min(3 * rows.sparkSession.sparkContext.defaultParallelism, -(-size // SMALL)), 1)
+    return rows.repartition(min(n, MANY), *keys)
 
 
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame | None:

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.dates import normalize_date
-from termloom.functions.text import full_text
+from termloom.functions.text import full_text, once
 from termloom.operators import candidates, fields
+from termloom.operators.skew import dealt
 
 # Cues of the kinds of exams; labels too general for an event's title; statuses of a meeting.
 EXAM_TYPES = {
@@ -41,13 +42,23 @@ def cells(docs: DataFrame) -> DataFrame:
 
 
 def walk(docs: DataFrame) -> DataFrame:
-    """Candidates of every cell and page text; of equal texts of a page the last of a table stays, else the first."""
-    none, bits = F.lit(None).cast("string"), lambda c, n: F.shiftleft(F.col(c).cast("long"), n)
-    t = cells(docs).select("doc_id", "page", F.lit(True).alias("is_table"), none.alias("section"), "row_label", "col_label", (bits("table_no", 50) + bits("row_no", 30) + bits("col_no", 20)).alias("place"), "text")
+    """Candidates of every cell and page text; of equal texts of a page the last of a table stays, else the first.
+
+    Cells and text of a page leave it by one generator, and are dealt once, by document.
+    """
+    none, bits = F.lit(None).cast("string"), lambda c, n: F.shiftleft(c.cast("long"), n)
+    some = lambda x: F.nullif(F.trim(x), F.lit(""))
+    each = lambda xs, f: F.flatten(F.filter(F.transform(xs, f), lambda a: a.isNotNull()))
+    place = lambda i, j, k: bits(i, 50) + bits(j, 30) + bits(k, 20)
+    unit = lambda is_table, row, col, at, text: F.struct(F.lit(is_table).alias("is_table"), row.alias("row_label"), col.alias("col_label"), at.alias("place"), text.alias("text"))
+    of_row = lambda t, i, r, j: F.transform(r, lambda c, k: unit(True, some(F.get(r, F.lit(0))), some(F.get(t["header"], k)), place(i, j, k), c))
+    in_tables = F.filter(each(F.col("p.tables"), lambda t, i: each(t["rows"], lambda r, j: of_row(t, i, r, j))), lambda u: F.trim(u["text"]) != "")
+    in_text = F.array(unit(False, none, none, F.lit(0).cast("long"), F.col("p.text")))
     p = docs.select("doc_id", F.explode("pages").alias("p"))
-    p = p.select("doc_id", F.col("p.page_no").alias("page"), F.lit(False).alias("is_table"), none.alias("section"), none.alias("row_label"), none.alias("col_label"), F.lit(0).cast("long").alias("place"), F.col("p.text").alias("text"))
-    found = candidates.extract(t.unionByName(p)).withColumn("seq", F.col("place") + F.col("char_start"))
-    return candidates.last_table_hit_first(found).drop("seq", "place")
+    units = p.select("doc_id", F.col("p.page_no").alias("page"), F.explode(F.concat(F.coalesce(in_tables, F.slice(in_text, 1, F.lit(0))), in_text)).alias("u"))
+    t = units.select("doc_id", "page", "u.is_table", none.alias("section"), "u.row_label", "u.col_label", "u.place", "u.text")
+    found = candidates.extract(t).withColumn("seq", F.col("place") + F.col("char_start"))
+    return candidates.last_table_hit_first(dealt(found, "doc_id", like=docs)).drop("seq", "place")
 
 
 def run_pipeline(docs: DataFrame, classify=candidates.classify, block_events: bool = False) -> DataFrame:
@@ -69,12 +80,12 @@ def event_title(row_label: Column, section: Column, before: Column) -> Column:
 
     def label(c: Column) -> Column:
         t = F.regexp_replace(fields.cut_at_next_label(c), r"^[ :|·\-–—,\t]+|[ :|·\-–—,\t]+$", "")
-        return F.when(F.length(t).between(1, 80) & ~t.rlike(GENERIC), t)
+        return once(t, lambda t: F.when(F.length(t).between(1, 80) & ~t.rlike(GENERIC), t))
 
     line = F.regexp_replace(F.substring_index(F.coalesce(before, F.lit("")), "\n", -1), r"^.*[;|•·]", "")
     line = F.regexp_replace(F.regexp_replace(line, r"[\s:|·,]+$", ""), r"(?U)^\W+", "")
     line = F.trim(F.regexp_replace(line, r"[#(\[{№_\-]+$", ""))
-    phrase = F.when(F.length(line).between(3, 80) & ~F.replace(line, F.lit(" "), F.lit("")).rlike(r"^\d+$") & ~line.rlike(r"^\p{Ll}") & ~line.rlike(GENERIC), line)
+    phrase = once(line, lambda s: F.when(F.length(s).between(3, 80) & ~F.replace(s, F.lit(" "), F.lit("")).rlike(r"^\d+$") & ~s.rlike(r"^\p{Ll}") & ~s.rlike(GENERIC), s))
     return F.coalesce(label(row_label), label(section), phrase)
 
 
@@ -131,10 +142,16 @@ def cell_values(docs: DataFrame) -> DataFrame:
 
 def fallback_class_time(text: Column, head: int = 1200) -> Column:
     """The first days with a clock range in the head of a text that no word for office hours stands near to."""
-    pattern = F.lit(rf"(?is)(.{{0,40}}?)({CLASS_RUN})(?=(.{{0,40}}))")
-    part = lambda i: F.regexp_extract_all(F.substring(F.coalesce(text, F.lit("")), 1, head), pattern, F.lit(i))
-    runs = F.arrays_zip(part(1).alias("a"), part(2).alias("run"), part(3).alias("b"))
-    return F.get(F.filter(runs, lambda r: ~F.concat(r["a"], F.lit(" "), r["b"]).rlike(OFFICE_NEAR)), F.lit(0))["run"]
+    text = F.substring(F.coalesce(text, F.lit("")), 1, head)
+    parts = F.struct(F.split(text, f"(?is){CLASS_RUN}", -1).alias("gap"), F.regexp_extract_all(text, F.lit(f"(?is){CLASS_RUN}"), F.lit(0)).alias("run"))
+
+    def free(x: Column) -> Column:
+        before = lambda i: F.substring(F.get(x["gap"], i), -40, 40)
+        # Five gaps with the runs between them hold the next 40 characters: a run has 10 at least.
+        after = lambda i: F.substring(F.array_join(F.flatten(F.zip_with(F.slice(x["gap"], i + 2, 5), F.slice(x["run"], i + 2, 5), lambda g, r: F.array(F.coalesce(g, F.lit("")), F.coalesce(r, F.lit(""))))), ""), 1, 40)
+        return F.get(F.filter(x["run"], lambda r, i: ~F.concat(before(i), F.lit(" "), after(i)).rlike(OFFICE_NEAR)), F.lit(0))
+
+    return once(parts, free)
 
 
 def title_cascade(text: Column) -> Column:

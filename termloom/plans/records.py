@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from termloom.operators import guards, records, reports
+from termloom.operators.skew import dealt
 from termloom.plans.base import query, table
 
 def key() -> Column:
     return F.col("o_orderkey")
 
 
-def orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
+def orders(spark, sf_dir, by: str = "o_orderkey"):
+    return dealt(table(spark, sf_dir, "orders"), by).withColumn("d", F.col("o_orderdate").cast("date"))
 
 
 def turn(n: int, *values) -> Column:
