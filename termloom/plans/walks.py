@@ -98,7 +98,7 @@ DATED = "with o as (select o_custkey as doc_id, o_orderkey as k, o_orderpriority
 
 
 def entries(spark, sf_dir):
-    o = orders(spark, sf_dir).select(F.col("o_custkey").alias("doc_id"), key().alias("k"), F.col("o_orderpriority").alias("topic"), "d")
+    o = orders(spark, sf_dir, "o_custkey").select(F.col("o_custkey").alias("doc_id"), key().alias("k"), F.col("o_orderpriority").alias("topic"), "d")
     years = o.select("doc_id").distinct().withColumn("year", F.lit(2031))
     return o, years
 
@@ -207,4 +207,5 @@ def course_titles(spark, sf_dir):
 @query("select o_orderkey, case o_orderkey % 3 when 0 then 'Tue/Thu 10:00-11:15' when 1 then '월,수 09:00~10:15' end as class_time, case o_orderkey % 3 when 0 then 'Applied Statistics' when 1 then '통계학 입문' else 'Game Theory' end as title from orders")
 def fallback_fields(spark, sf_dir):
     text = turn(3, F.lit("Syllabus\nApplied Statistics\nOffice hours Mon 09:00-10:00" + PAD + "Tue/Thu 10:00-11:15 in Hall 7"), F.lit("과목명: 통계학 입문\n월,수 09:00~10:15"), F.lit("https://x.example\nIn 2031 we meet\nGame Theory\n상담 화 13:00-14:00"))
-    return orders(spark, sf_dir).select("o_orderkey", walk.fallback_class_time(text).alias("class_time"), walk.title_cascade(text).alias("title"))
+    t = orders(spark, sf_dir).select("o_orderkey", text.alias("t"))
+    return t.select("o_orderkey", walk.fallback_class_time(F.col("t")).alias("class_time"), walk.title_cascade(F.col("t")).alias("title"))
