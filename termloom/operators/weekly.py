@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.dates import MONTHS, normalize_date, parse_week
+from termloom.functions.text import once
+from termloom.operators.lineage import computed
 
 # What headers of weekly plans call their columns, explicit topics before contents.
 WEEK_HEAD = r"(?i)^\s*(?:주\s*차?|week|wk|제?\s*\d*\s*주|차\s*시(?:\s*\(?times?\)?)?|회\s*차)\s*$"
@@ -67,8 +69,8 @@ def _weights(rows: Column, width: Column, skip) -> Column:
 
 def _leftmost_heavy(weights: Column) -> Column:
     """The leftmost column with at least half the characters of the fullest one."""
-    peak = F.array_max(F.transform(weights, lambda w: w["n"]))
-    return F.when(peak > 0, F.array_min(F.transform(F.filter(weights, lambda w: 2 * w["n"] >= peak), lambda w: w["i"])))
+    heavy = lambda ws, peak: F.array_min(F.transform(F.filter(ws, lambda w: 2 * w["n"] >= peak), lambda w: w["i"]))
+    return once(weights, lambda ws: once(F.array_max(F.transform(ws, lambda w: w["n"])), lambda peak: F.when(peak > 0, heavy(ws, peak))))
 
 
 def plan_tables(tables: DataFrame) -> DataFrame:
@@ -96,7 +98,7 @@ def plan_tables(tables: DataFrame) -> DataFrame:
     fullest = -F.array_max(F.transform(weighed, lambda w: F.struct(w["n"].alias("n"), (-w["i"]).alias("i"))))["i"]
     dated = lambda but: F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(F.col("width") - 1, F.lit(1))), lambda i: (i != but) & F.exists("rows", lambda r: F.get(r, i).rlike(DATE_LIKE))))
     strong = F.flatten(F.transform("rows", lambda r: F.filter(F.transform(r, lambda c, i: F.when(c.rlike(STRONG_WEEK), i)), lambda i: i.isNotNull())))
-    modal = -F.array_max(F.transform(F.array_distinct(strong), lambda i: F.struct(F.size(F.filter(strong, lambda j: j == i)).alias("n"), (-i).alias("i"))))["i"]
+    modal = once(strong, lambda xs: -F.array_max(F.transform(F.array_distinct(xs), lambda i: F.struct(F.size(F.filter(xs, lambda j: j == i)).alias("n"), (-i).alias("i"))))["i"])
     x = x.withColumn("map", F.when(named, F.struct(role("week").alias("week"), role("dates").alias("dates"), topic.alias("topic"), role("book").alias("book"), role("remarks").alias("remarks"))))
     nothing = F.lit(None).cast("int")
     other = F.when(numeric, F.struct(F.lit(0).alias("week"), dated(fullest).alias("dates"), fullest.alias("topic"), nothing.alias("book"), nothing.alias("remarks"))).when(modal.isNotNull(), F.struct(modal.alias("week"), nothing.alias("dates"), nothing.alias("topic"), nothing.alias("book"), nothing.alias("remarks")))
@@ -133,8 +135,11 @@ def _contiguous(weeks: Column) -> Column:
 
 def issues_of(rows: Column) -> Column:
     """What keeps the rows of a plan from being trusted."""
-    w = weeks_of(rows)
     topics = F.filter(F.transform(rows, lambda r: r["topic"]), lambda t: t.isNotNull())
+    return once(F.struct(weeks_of(rows).alias("w"), topics.alias("t")), lambda x: _issues(x["w"], x["t"]))
+
+
+def _issues(w: Column, topics: Column) -> Column:
     shifted = F.size(F.filter(topics, lambda t: t.rlike(rf"^(?:{DATE_LIKE})$") | t.rlike(FILE_LIKE)))
     flag = lambda ok, name: F.when(ok, F.lit(name))
     full = F.array(
@@ -223,12 +228,16 @@ def plan_events(plans: DataFrame) -> DataFrame:
 
 def month_day(cell: Column) -> Column:
     """struct<month, day> of the first date of a cell: `Sep 2`, `3월 11일`, `2026-03-11`, `3/11`; null without one."""
-    part = lambda p, i: F.nullif(F.regexp_extract(cell, p, i), F.lit(""))
     en, ko, num = r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?\s*(\d{1,2})\b", r"(\d{1,2})\s*월\s*(\d{1,2})\s*일", r"(?:\d{4}\s*[./\-])?\s*(\d{1,2})\s*[./\-]\s*(\d{1,2})\b"
     names = F.create_map(*[F.lit(x) for kv in MONTHS.items() for x in kv])
-    month = F.coalesce(F.try_element_at(names, F.lower(part(en, 1))), part(ko, 1).cast("int"), part(num, 1).cast("int"))
-    day = F.coalesce(part(en, 2), part(ko, 2), part(num, 2)).cast("int")
-    return F.when(month.between(1, 12) & day.between(1, 31), F.struct(month.alias("month"), day.alias("day")))
+    number = lambda m: m.try_cast("int")
+
+    def read(c: Column, p: str, month) -> Column:
+        day = lambda m: F.struct(month(m).alias("month"), F.regexp_extract(c, p, 2).try_cast("int").alias("day"))
+        return once(F.regexp_extract(c, p, 1), lambda m: F.when(m != "", day(m)))
+
+    md = once(cell, lambda c: F.coalesce(read(c, en, lambda m: F.try_element_at(names, F.lower(m))), read(c, ko, number), read(c, num, number)))
+    return once(md, lambda x: F.when(x["month"].between(1, 12) & x["day"].between(1, 31), x))
 
 
 def _days(entries: DataFrame) -> DataFrame:
@@ -236,7 +245,7 @@ def _days(entries: DataFrame) -> DataFrame:
     first = F.first("md.month").over(Window.partitionBy("doc_id").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     year = F.col("year") + (F.col("md.month") < first - 6).cast("int")
     day = F.try_to_date(F.format_string("%04d-%02d-%02d", year, F.col("md.month"), F.col("md.day")))
-    return entries.withColumn("day", day).where("day is not null")
+    return computed(entries, "day", day).where("day is not null")
 
 
 def dated_rows(tables: DataFrame, years: DataFrame) -> DataFrame:
@@ -246,14 +255,14 @@ def dated_rows(tables: DataFrame, years: DataFrame) -> DataFrame:
     column. Dates that don't exist are left out, and so are documents without a year.
     """
     rows = F.transform(F.coalesce("rows", F.array().cast("array<array<string>>")), lambda r: F.transform(F.coalesce(r, F.array().cast("array<string>")), squeeze))
-    x = tables.select("doc_id", "table_no", rows.alias("rows")).withColumn("width", F.coalesce(F.array_max(F.transform("rows", lambda r: F.size(r))), F.lit(0))).where("width >= 2")
+    x = computed(tables.select("doc_id", "table_no", "rows"), "lines", rows).select("doc_id", "table_no", F.col("lines").alias("rows")).withColumn("width", F.coalesce(F.array_max(F.transform("rows", lambda r: F.size(r))), F.lit(0))).where("width >= 2")
     count = lambda i, ok: F.size(F.filter("rows", lambda r: F.coalesce(ok(F.get(r, i)), F.lit(False))))
     cols = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.struct(count(i, lambda c: month_day(c).isNotNull()).alias("n"), count(i, lambda c: c != "").alias("full"), (-i).alias("i")))
     best = -F.array_max(F.filter(cols, lambda c: c["n"] >= F.greatest(F.lit(2), F.floor(0.6 * c["full"]))))["i"]
-    x = x.withColumn("at", best).where("at is not null")
-    x = x.withColumn("topic_at", _leftmost_heavy(_weights(F.col("rows"), F.col("width"), lambda i: i == F.col("at")))).where("topic_at is not null")
+    x = computed(x, "at", best).where("at is not null")
+    x = computed(x, "topic_at", _leftmost_heavy(_weights(F.col("rows"), F.col("width"), lambda i: i == F.col("at")))).where("topic_at is not null")
     e = x.select("doc_id", "table_no", "at", "topic_at", F.posexplode("rows").alias("row_no", "r"))
-    e = e.select("doc_id", F.struct("table_no", "row_no").alias("place"), month_day(F.get("r", "at")).alias("md"), _filled(F.get("r", "topic_at")).alias("topic")).where("md is not null")
+    e = computed(e.select("doc_id", F.struct("table_no", "row_no").alias("place"), F.get("r", "at").alias("cell"), _filled(F.get("r", "topic_at")).alias("topic")), "md", month_day(F.col("cell"))).where("md is not null")
     return _days(e.join(years.select("doc_id", "year").where("year is not null"), "doc_id")).select("doc_id", "place", "day", "topic")
 
 
