@@ -17,9 +17,9 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"(?:\+82[-\s]?\d{1,2}|0\d{1,2})[-.\s)]?\d{3,4}[-.\s]?\d{4}"
 
 
-def once(value: Column, f) -> Column:
-    """f(value), with the value computed once however often f names it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
+def once(value: Column, *fs) -> Column:
+    """value with the functions applied in turn, each of what they get computed once however often they name it."""
+    return F.get(reduce(F.transform, fs, F.array(value)), F.lit(0))
 
 
 def blank_to_null(c: Column) -> Column:

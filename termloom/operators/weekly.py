@@ -94,8 +94,9 @@ def plan_tables(tables: DataFrame) -> DataFrame:
     named = role("week").isNotNull() & topic.isNotNull()
     numeric = (F.col("n") >= 3) & (F.col("width") >= 2) & (F.col("hits") >= F.greatest(F.lit(3), F.floor(0.6 * F.col("n"))))
     plain = F.transform("rows", lambda r: F.transform(r, lambda c: F.when(parse_week(c).isNull(), c)))
-    weighed = _weights(plain, F.col("width"), lambda i: i == 0)
-    fullest = -F.array_max(F.transform(weighed, lambda w: F.struct(w["n"].alias("n"), (-w["i"]).alias("i"))))["i"]
+    weighed = once(plain, lambda rows: _weights(rows, F.col("width"), lambda i: i == 0))
+    x = x.withColumn("fullest", F.when(numeric & ~named, -F.array_max(F.transform(weighed, lambda w: F.struct(w["n"].alias("n"), (-w["i"]).alias("i"))))["i"]))
+    fullest = F.col("fullest")
     dated = lambda but: F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(F.col("width") - 1, F.lit(1))), lambda i: (i != but) & F.exists("rows", lambda r: F.get(r, i).rlike(DATE_LIKE))))
     strong = F.flatten(F.transform("rows", lambda r: F.filter(F.transform(r, lambda c, i: F.when(c.rlike(STRONG_WEEK), i)), lambda i: i.isNotNull())))
     modal = once(strong, lambda xs: -F.array_max(F.transform(F.array_distinct(xs), lambda i: F.struct(F.size(F.filter(xs, lambda j: j == i)).alias("n"), (-i).alias("i"))))["i"])
