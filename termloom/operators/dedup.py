@@ -34,10 +34,12 @@ def minima(text: str, k: int = 5) -> list[int] | None:
     for j in range(k):
         h = (h ^ codes[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    h = np.unique(h)
-    if len(h) < 8:
+    if len(np.unique(h[:256])) < 8 and len(np.unique(h)) < 8:
         return None
-    return [int((h * m >> np.uint64(1)).min()) for m in _MULTIPLIERS]
+    low = np.full(SLOTS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, n, 512):  # products of a block stay in the cache; repeated grams don't change a minimum
+        np.minimum(low, (h[i : i + 512] * _MULTIPLIERS[:, None]).min(axis=1), out=low)
+    return (low >> np.uint64(1)).astype(np.int64).tolist()
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))

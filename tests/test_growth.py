@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom.functions.dates import parse_week
-from termloom.operators import candidates, fields, skew, walk, weekly
+from termloom.operators import candidates, dedup, fields, skew, walk, weekly
 from termloom.sources.files import DOCUMENT
 
 
@@ -79,3 +79,21 @@ def test_spans_of_plain_texts_by_all_patterns():
     for t, got in zip(texts, candidates.spans.func(__import__("pandas").Series(texts))):
         found = sorted({m.span() for p in candidates._COMPILED for m in p.finditer(t)}, key=lambda s: (s[0], -s[1]))
         assert [(x["start"], x["end"]) for x in got] == [s for i, s in enumerate(found) if all(s[1] > e for _, e in found[:i])]
+
+
+def test_minima_by_brute_force(monkeypatch):
+    sizes = []
+    unique = dedup.np.unique
+    monkeypatch.setattr(dedup.np, "unique", lambda x: sizes.append(len(x)) or unique(x))
+    texts = ["a b c d e f g h i", "ab" * 40, "".join(chr(0x41 + i * i % 977) for i in range(3000)), "x" * 5000]
+    for t in texts:
+        grams = {tuple(map(ord, t[i : i + 5])) for i in range(len(t) - 4)}
+        want = []
+        for g in grams:
+            h = 0
+            for c in g:
+                h = (h ^ c) * 0x9E3779B97F4A7C15 % 2**64
+                h ^= h >> 29
+            want.append(h)
+        assert dedup.minima(t) == ([min(h * int(m) % 2**64 >> 1 for h in want) for m in dedup._MULTIPLIERS] if len(want) >= 8 else None)
+    assert max(sizes[:3]) <= 256  # texts of many grams aren't sorted
